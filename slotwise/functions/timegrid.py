@@ -6,28 +6,32 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def epoch() -> Column:
-    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+def _ntz(text: str) -> Column:
+    return F.lit(text).cast("timestamp_ntz")
 
 
 def micros(ts: Column) -> Column:
-    """Microseconds since the epoch of a naive timestamp."""
-    return F.timestamp_diff("MICROSECOND", epoch(), ts)
+    """Microseconds of a naive timestamp since the start of year 1.
+
+    The origin is a midnight and never after the data, so integer division floors.
+    """
+    return F.timestamp_diff("MICROSECOND", _ntz("0001-01-01 00:00:00"), ts)
 
 
 def from_micros(us: Column) -> Column:
-    return F.timestamp_add("MICROSECOND", us, epoch())
+    return F.timestamp_add("MICROSECOND", us, _ntz("0001-01-01 00:00:00"))
 
 
 def floor_div(n: Column, width: int) -> Column:
-    """Integer floor division, also for negative numbers."""
-    return ((n - F.pmod(n, F.lit(width))) / F.lit(width)).cast("bigint")
+    """Integer quotient of a number that is not negative."""
+    return F.call_function("div", n, F.lit(width))
 
 
 def slot_of(ts: Column, step_us: int) -> Column:
-    """Number of the grid slot that holds ``ts``; slots are anchored at the epoch.
+    """Number of the grid slot that holds ``ts``.
 
-    The anchor equals midnight of any day when the step divides a day.
+    Slots are anchored at a midnight; that is midnight of every day when the step divides
+    a day.
     """
     return floor_div(micros(ts), step_us)
 
@@ -38,12 +42,12 @@ def slot_start(slot: Column, step_us: int) -> Column:
 
 def to_naive_utc(instant: Column) -> Column:
     """TIMESTAMP to naive UTC, whatever the session time zone."""
-    return from_micros(F.unix_micros(instant))
+    return F.timestamp_add("MICROSECOND", F.unix_micros(instant), _ntz("1970-01-01 00:00:00"))
 
 
 def to_instant(naive_utc: Column) -> Column:
     """Naive UTC to TIMESTAMP (streams need it for watermarks)."""
-    return F.timestamp_micros(micros(naive_utc))
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", _ntz("1970-01-01 00:00:00"), naive_utc))
 
 
 def to_local_time(naive_utc: Column, zone: str) -> Column:

@@ -69,12 +69,15 @@ def with_rolling(df: DataFrame, partition: Sequence[str], cfg: SeriesConfig = DE
         s = F.col("_s_1") - F.col(f"_s_{w + 1}")
         q = F.col("_q_1") - F.col(f"_q_{w + 1}")
         enough = max(1, w // 4)
-        squares = F.greatest(q - s * s / n, F.lit(0.0))
+        left = q - s * s / n
+        # Below the rounding error of the totals the values of the frame are equal.
+        squares = F.when(left > F.col("_q_1") * ROUNDING, left).otherwise(0.0)
         out[f"roll_mean_{w}"] = F.when(n >= enough, F.col("_c") + s / n)
         out[f"roll_std_{w}"] = F.when(n >= max(enough, 2), F.sqrt(squares / (n - 1)))
     return df.withColumns(out).select(*names, *out)
 
 
+ROUNDING = 1e-13
 _TOTALS = (("_n", "bigint"), ("_s", "double"), ("_q", "double"))
 
 

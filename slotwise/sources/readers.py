@@ -21,6 +21,7 @@ VALUE_NAMES = (
     "kwh", "energy_kwh", "energy", "energy_a_plus",
 )
 KMH_PER_MS = 3.6
+CSV_TIME = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
 
 METER_SCHEMA = "timestamp timestamp_ntz, household_id string, consumption_kwh double, is_real_data boolean"
 WEATHER_SCHEMA = "timestamp timestamp_ntz, temperature_c double, humidity_pct double, wind_speed_ms double"
@@ -33,7 +34,7 @@ PAYLOAD_SCHEMA = (
 
 def read_csv(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
     """CSV with a header and a declared schema; nothing is inferred."""
-    return spark.read.schema(schema).csv(path, header=True, mode="PERMISSIVE")
+    return spark.read.schema(schema).option("timestampNTZFormat", CSV_TIME).csv(path, header=True, mode="PERMISSIVE")
 
 
 def normalised(name: str) -> str:
