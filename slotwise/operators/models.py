@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
@@ -15,6 +14,7 @@ from slotwise import config as C
 from slotwise.config import DEFAULT, SeriesConfig
 from slotwise.functions.expressions import error_metrics, relative_improvement
 from slotwise.operators.joins import lookup_join
+from slotwise.session import written
 from slotwise.operators.split import chronological_split, median_impute
 
 
@@ -91,11 +91,11 @@ def train_and_compare(
 ) -> tuple[DataFrame, dict]:
     """Metrics of the baseline and of every family on the validation part, and the models.
 
-    The assembled rows are persisted for the many passes of the learners, on disk where
-    memory is short, and released afterwards.
+    The learners pass over the rows many times, so the assembled rows are written to the
+    shared folder first: a lost executor then costs a read and not the whole pipeline.
     """
     families = factories(cfg.seed) if families is None else families
-    data = prepare(features, columns, cfg, val_share, test_share).persist(StorageLevel.MEMORY_AND_DISK)
+    data = written(prepare(features, columns, cfg, val_share, test_share), "train")
     train, val = data.filter("split = 'train'"), data.filter("split = 'val'")
     base = metrics(baseline_predict(val.drop("features"), entity_means(train, cfg), cfg), cfg).first()
     rows = [("baseline", *base, 0.0)]
@@ -106,7 +106,6 @@ def train_and_compare(
         gain = relative_improvement(F.lit(base["mae"]), F.col("mae"))
         rows.append((name, *m.withColumn("gain", gain).first()))
     spark = features.sparkSession
-    data.unpersist()
     schema = "model string, mae double, rmse double, mape double, n_samples bigint, improvement_pct double"
     table = spark.createDataFrame(rows, schema)
     best = table.filter("model <> 'baseline'").agg(F.min_by("model", F.struct("mae", "model"))).scalar()

@@ -554,7 +554,7 @@ def linreg_fit(spark, d):
         "n", F.lit(float(model.coefficients[0])).alias("slope"), F.lit(float(model.intercept)).alias("intercept")), 3)
 
 
-TREES, ROUNDS = 20, 10
+TREES, ROUNDS = 10, 5
 # A month is short against the purge of a week, so validation takes a larger share.
 FIT_VAL = 0.35
 FIT_COLUMNS = ("lag_1", "lag_2", "lag_4", "lag_28", "roll_mean_4", "roll_std_4", "hour_sin", "hour_cos",
