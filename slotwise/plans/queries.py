@@ -723,9 +723,7 @@ def adwin_events(spark, d):
 @query
 def adwin_stream(spark, d):
     rows = adwin.detector_input(_reading_stream(spark, d), ["consumption_kwh"])
-    path = shared_dir(spark, "adwin")
-    live.run_available(adwin.stream_events(rows), live.batch_folder(f"{path}/out"), f"{path}/checkpoint")
-    return adwin.detector_windows(spark.read.parquet(f"{path}/out"))
+    return adwin.detector_windows(adwin.backfill_events(rows, shared_dir(spark, "adwin")))
 
 
 @query

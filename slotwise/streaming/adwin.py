@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from slotwise.streaming.live import batch_folder, run_available
+
 DELTA = 0.002
 # Fixed values of the detector: values between tests, buckets per size, shortest side, grace.
 CLOCK, BUCKETS, MIN_SIDE, GRACE = 32, 5, 5, 10
@@ -24,7 +26,7 @@ OUT_SCHEMA = (
     " n_updates bigint, width bigint, delta double"
 )
 STATE_SCHEMA = (
-    "delta double, updates bigint, ticks bigint, count bigint, total double, spread double,"
+    "state_delta double, updates bigint, ticks bigint, count bigint, total double, spread double,"
     " sizes array<bigint>, sums array<double>, spreads array<double>"
 )
 
@@ -141,42 +143,79 @@ def _apply(detector: Adwin, op: str, value: float) -> bool:
     return False
 
 
-def batch_events(rows: DataFrame, delta: float = DELTA) -> DataFrame:
-    """Drift rows in event-time order and one closing state row per key.
+_OUT = ["household_id", "feature", "timestamp", "kind", "n_updates", "width", "delta"]
+_STATE_COLUMNS = STATE_SCHEMA.split(", ")
+_STATE = [c.split(" ")[0] for c in _STATE_COLUMNS]
+_KEYS = ["household_id", "feature"]
+
 
-    A key is walked in one task, as its detector demands, but in batches of sorted rows.
+def _walk(rows: DataFrame, delta: float) -> DataFrame:
+    """Drift rows in event-time order and a closing state row with the detector per key.
+
+    Rows of op ``state`` carry a saved detector and come first. A key is walked in one
+    task, as its detector demands, but in batches of sorted rows.
     """
 
+    def close(key, last, d: Adwin) -> tuple:
+        return (*key, last, "state", d.updates, d.width, d.delta, *d.pack())
+
     def walk(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         key, detector, last = None, None, None
         for frame in frames:
             out = []
             columns = (frame[c] for c in ("household_id", "feature", "timestamp", "op", "value"))
-            for entity, feature, ts, op, value in zip(*columns):
+            for i, (entity, feature, ts, op, value) in enumerate(zip(*columns)):
                 if (entity, feature) != key:
                     if key is not None:
-                        out.append((*key, last, "state", detector.updates, detector.width, detector.delta))
+                        out.append(close(key, last, detector))
                     key, detector = (entity, feature), Adwin(delta)
                 last = ts
-                if _apply(detector, op, value):
-                    out.append((*key, ts, "drift", detector.updates, detector.width, detector.delta))
-            yield pd.DataFrame(out, columns=_OUT)
+                if op == "state":
+                    detector = Adwin.unpack([frame[c].iloc[i] for c in _STATE])
+                elif _apply(detector, op, value):
+                    out.append((*key, ts, "drift", detector.updates, detector.width, detector.delta, *[None] * len(_STATE)))
+            yield pd.DataFrame(out, columns=_OUT + _STATE)
         if key is not None:
-            yield pd.DataFrame([(*key, last, "state", detector.updates, detector.width, detector.delta)], columns=_OUT)
+            yield pd.DataFrame([close(key, last, detector)], columns=_OUT + _STATE)
 
-    keys = ["household_id", "feature"]
-    placed = rows.repartition(*keys).sortWithinPartitions(*keys, "timestamp", "seq")
-    return placed.mapInPandas(walk, OUT_SCHEMA)
+    placed = rows.repartition(*_KEYS).sortWithinPartitions(*_KEYS, F.col("op") != "state", "timestamp", "seq")
+    return placed.mapInPandas(walk, f"{OUT_SCHEMA}, {STATE_SCHEMA}")
 
 
-_OUT = ["household_id", "feature", "timestamp", "kind", "n_updates", "width", "delta"]
+def batch_events(rows: DataFrame, delta: float = DELTA) -> DataFrame:
+    """Drift rows and one closing state row per key of a whole table."""
+    return _walk(rows, delta).select(*_OUT)
+
+
+def backfill_events(rows: DataFrame, path: str, delta: float = DELTA) -> DataFrame:
+    """The same over a stream whose micro-batches may be large.
+
+    Each micro-batch is sorted and walked after the detectors saved by the previous one,
+    and writes the detectors of all keys for the next. Memory per task stays that of one
+    Arrow batch, whatever share of a micro-batch one key has.
+    """
+    spark = rows.sparkSession
+    write = batch_folder(f"{path}/out")
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        if batch_id:
+            saved = spark.read.parquet(f"{path}/out/batch_id={batch_id - 1}").filter("kind = 'state'")
+            batch = batch.unionByName(saved.withColumn("op", F.lit("state")).drop("kind", "n_updates", "width", "delta"), True)
+        else:
+            empty = [F.lit(None).cast(c.split(" ")[1]).alias(c.split(" ")[0]) for c in _STATE_COLUMNS]
+            batch = batch.select("*", *empty)
+        write(_walk(batch, delta), batch_id)
+
+    run_available(rows, handle, f"{path}/checkpoint")
+    return spark.read.parquet(f"{path}/out").select(*_OUT)
 
 
 def stream_events(rows: DataFrame, delta: float = DELTA) -> DataFrame:
     """The same detectors over a stream; their state outlives the micro-batches.
 
-    Rows of a micro-batch are put in event-time order per key; the size of a micro-batch
-    is what the source admits, not the length of the series.
+    For live streams: the rows of a key in one micro-batch are put in event-time order in
+    memory, so their number is what the source admits at once. Use ``backfill_events``
+    for history.
     """
 
     def update(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:

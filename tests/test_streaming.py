@@ -155,6 +155,10 @@ def test_batch_and_stream_detectors_agree(spark, folder):
     assert got.timestamp.tolist() == drifts.timestamp.tolist() and got.width.tolist() == drifts.width.tolist()
     widths = lambda t: {(r.household_id, r.width) for r in adwin.detector_windows(t).collect()}
     assert widths(out) == widths(batch)
+    filled = adwin.backfill_events(adwin.detector_input(stream, ["consumption_kwh"]), f"{folder}/backfill")
+    again = rows(filled.filter("kind = 'drift'"), "timestamp")
+    assert again.timestamp.tolist() == drifts.timestamp.tolist() and again.width.tolist() == drifts.width.tolist()
+    assert widths(filled) == widths(batch)
 
 
 def test_reset_and_delta_commands(spark):
