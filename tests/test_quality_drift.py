@@ -72,6 +72,14 @@ def test_medians_are_exact(spark):
     assert got == pytest.approx(pdf.median().to_dict())
 
 
+@pytest.mark.parametrize("n", [1, 2, 3, 4, 5, 10, 101, 2000])
+def test_medians_of_any_length(spark, n):
+    rng = np.random.default_rng(n)
+    pdf = pd.DataFrame({"a": rng.lognormal(0, 2, n), "b": np.where(rng.random(n) < 0.6, 1.5, rng.normal(0, 9, n))})
+    got = {r.feature: r.median for r in D.exact_medians(spark.createDataFrame(pdf), ["a", "b"]).collect()}
+    assert got == pytest.approx(pdf.median().to_dict())
+
+
 def test_ks_and_wasserstein_equal_brute_force(spark):
     rng = np.random.default_rng(1)
     x, y = rng.normal(0, 1, 700).round(2), rng.normal(0.2, 1.3, 450).round(2)
