@@ -12,6 +12,13 @@ from slotwise.plans.fixtures import WEIGHTS
 
 TIE = 1.3e-10
 
+
+
+def half_up(x: str, digits: int) -> str:
+    """Rounding that is part of an operator: half up on the shortest decimal form."""
+    return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 20)), {digits}) AS DOUBLE)"
+
+
 STEPS = {
     "meter_raw": """
         SELECT event_id + c * 1000000000 AS seq, ts AS timestamp, printf('HH%04d', user_id) AS household_id,
@@ -161,7 +168,7 @@ STEPS = {
         FROM readings WHERE consumption_kwh IS NOT NULL""",
     "requests": """
         SELECT r.household_id, r.forecast_timestamp,
-               CASE WHEN r.forecast_timestamp - w.timestamp <= INTERVAL 7 HOUR THEN w.temperature_c END AS temperature_c
+               CASE WHEN r.forecast_timestamp - w.timestamp <= INTERVAL 7 HOUR THEN round(w.temperature_c + 1.3e-10, 1) END AS temperature_c
         FROM (SELECT household_id, max(timestamp) + INTERVAL 7 HOUR AS forecast_timestamp FROM recent GROUP BY 1) r
         ASOF LEFT JOIN weather_raw w ON r.forecast_timestamp >= w.timestamp""",
     "request_slots": """
@@ -180,9 +187,10 @@ STEPS = {
                CASE WHEN temperature_c IS NULL THEN 0 ELSE greatest(temperature_c - 22, 0) END AS cooling_degree,
                0.0 AS is_weekend, 0.0 AS humidity_pct
         FROM request_slots GROUP BY household_id, forecast_timestamp, temperature_c""",
-    "forecasts": "SELECT household_id, forecast_timestamp, CAST(round(1.5"
-        + "".join(f" + {c} * CAST({w} AS DOUBLE)" for c, w in WEIGHTS.coefficients.items())
-        + ", 4) AS DOUBLE) AS predicted_consumption_kwh FROM request_x",
+    "forecasts": "SELECT household_id, forecast_timestamp, "
+        + half_up(f"CAST({WEIGHTS.intercept} AS DOUBLE)" + "".join(
+            f" + {c} * CAST({w} AS DOUBLE)" for c, w in WEIGHTS.coefficients.items()), 4)
+        + " AS predicted_consumption_kwh FROM request_x",
     "recent_means": "SELECT household_id, avg(consumption_kwh) AS recent_mean_kwh FROM recent WHERE back <= 48 GROUP BY 1",
 }
 
@@ -417,7 +425,7 @@ QUERIES: dict[str, str] = {
         {rd('regr_intercept(l_extendedprice, l_quantity)', 3, 'intercept')} FROM lineitem""",
     "score_requests": "SELECT household_id, forecast_timestamp, predicted_consumption_kwh + 0.0 AS predicted_consumption_kwh FROM forecasts",
     "explain_requests": "SELECT household_id, forecast_timestamp, CAST(1 AS BIGINT) AS rank, contribution FROM ("
-        "SELECT household_id, forecast_timestamp, round(arg_max(phi, abs(phi)), 8) + 0.0 AS contribution FROM ("
+        f"SELECT household_id, forecast_timestamp, {rnd('arg_max(phi, abs(phi))', 6)} AS contribution FROM ("
         "SELECT x.household_id, x.forecast_timestamp, u.phi FROM request_x x, means m, LATERAL (VALUES "
         + ", ".join(f"((x.{c} - m.{c}) * CAST({w} AS DOUBLE))" for c, w in WEIGHTS.coefficients.items())
         + ") AS u(phi)) GROUP BY 1, 2)",
@@ -436,7 +444,7 @@ QUERIES: dict[str, str] = {
                  UNION ALL SELECT *, 4, 'No action needed', 0.0 FROM x ANTI JOIN fired USING (household_id, forecast_timestamp))
         SELECT household_id, forecast_timestamp, hour, {rnd('hd', 3)} AS heating_degree,
                row_number() OVER (PARTITION BY household_id, forecast_timestamp ORDER BY rule) - 1 AS position,
-               title, {rnd('saving', 3)} AS estimated_saving_kwh
+               title, {half_up('saving', 3)} AS estimated_saving_kwh
         FROM all_rows""",
     "recent_mean": f"SELECT household_id, {rd('recent_mean_kwh')} FROM recent_means",
     "best_run": f"SELECT model_name, version, {rd('mae')}, stage FROM versions WHERE mae IS NOT NULL ORDER BY versions.mae, model_name, version LIMIT 1",

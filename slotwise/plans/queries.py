@@ -605,7 +605,7 @@ def score_requests(spark, d):
 def explain_requests(spark, d):
     background = _background(_model_input(spark, d))
     out = scoring.explain_requests(fx.requests(spark, d), fx.WEIGHTS, background, fx.GRID)
-    return rounded(out.filter("rank = 1").drop("feature_value", "feature"))
+    return rounded(out.filter("rank = 1").drop("feature_value", "feature"), 6)
 
 
 @query
@@ -613,7 +613,8 @@ def recommendations(spark, d):
     req = fx.requests(spark, d)
     inputs = scoring.rule_inputs(req, score_requests(spark, d))
     out = rules.recommendations(inputs)
-    return rounded(out.drop("description", "recent_mean_kwh", "is_weekend", "predicted_consumption_kwh"), 3)
+    few = out.drop("description", "recent_mean_kwh", "is_weekend", "predicted_consumption_kwh")
+    return few.withColumn("heating_degree", F.round(F.col("heating_degree") + TIE, 3))
 
 
 @query
