@@ -60,10 +60,10 @@ class Words:
     """The words (runs without ASCII white space) of the texts of one slice.
 
     ``offsets[i]:offsets[i + 1]`` are the words of text i; ``start`` and ``length`` are bytes of ``data``.
-    A null text has no words.
+    A null text has no words. ``between`` tells which bytes stand between words, white space if not given.
     """
 
-    def __init__(self, texts: pa.Array):
+    def __init__(self, texts: pa.Array, between: np.ndarray = SPACE):
         texts = pc.fill_null(texts, "")
         if pa.types.is_large_string(texts.type):
             texts = texts.cast(pa.string())
@@ -73,7 +73,7 @@ class Words:
         if size:
             self.data[:size] = np.frombuffer(texts.buffers()[2], np.uint8)[edges[0]: edges[-1]]
         self.edges = edges - edges[0]
-        inside = ~SPACE[self.data[:size]]
+        inside = ~between[self.data[:size]]
         first = inside.copy()
         first[1:] &= ~inside[:-1]
         last = inside.copy()

@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from slotwise.llm import secrets, topk_search
 from slotwise.llm.common import table
+from slotwise.llm.decontaminate import contaminated
 from slotwise.llm.substring_dedup import remove_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +22,27 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op2_topk_search(spark, d):
+    return topk_search.top_k(table(spark, d, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+ORACLES["op2_topk_search"] = topk_search.ORACLE
+
+
+@query
+def op8_secret_scan(spark, d):
+    return secrets.scan_secrets(table(spark, d, "documents"))
+
+
+ORACLES["op8_secret_scan"] = secrets.oracle()
+
+
+@query
+def op9_decontaminate(spark, d):
+    return contaminated(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
 @query
 def op10_substring_dedup(spark, d):
     return remove_repeats(table(spark, d, "documents"), with_text=False)
