@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slotwise.llm.common import U64, Rolling, Words, mixed, ranges, signed, slices, small, text_key
+from slotwise.llm.common import U64, Rolling, Words, mixed, ranges, signed, slices, text_key
 from slotwise.session import written
 
 WINDOW = 50
@@ -127,17 +127,17 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
     branching = written(branching.where("n > 1 and low < high").select("anchor"), "branching")
     # One holder of each context below a branching anchor stands for all of them.
     holders = (
-        contexts.join(small(branching), "anchor", "left_semi")
+        contexts.join(branching, "anchor", "left_semi")
         .groupBy(F.col("first_doc").alias("doc_id"), "tk").agg(F.collect_set(F.struct("lo", "hi")).alias("parts"))
     )
     holders = written(holders, "holders")
-    cut = written(single_windows(docs.join(small(holders), ["doc_id", "tk"]), window), "windows")
+    cut = written(single_windows(docs.join(holders, ["doc_id", "tk"]), window), "windows")
     least = cut.groupBy("w1", "w2").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
     least = written(least, "repeats")
-    below = cut.join(small(least), ["w1", "w2"]).where("doc_id > low").select("doc_id", "tk", F.col("at").alias("lo"), (F.col("at") + window).alias("hi"))
+    below = cut.join(least, ["w1", "w2"]).where("doc_id > low").select("doc_id", "tk", F.col("at").alias("lo"), (F.col("at") + window).alias("hi"))
     held = written(contexts.where("first_doc < last_doc").select("anchor", "c1", "c2", "first_doc"), "held")
     whole = (
-        runs.join(small(held), ["anchor", "c1", "c2"]).where("doc_id > first_doc")
+        runs.join(held, ["anchor", "c1", "c2"]).where("doc_id > first_doc")
         .select("doc_id", "tk", "lo", (F.col("hi") + window).alias("hi"))
     )
     # Windows of a context's holder lie in every other document with that context, too, but there the
@@ -187,4 +187,4 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, with
                     arrays.append(pa.array(columns[3], pa.string()))
                 yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"][: len(arrays)])
 
-    return rows.join(small(spans), ["doc_id", "tk"], "left").select("doc_id", "text", "spans").mapInArrow(run, schema)
+    return rows.join(spans, ["doc_id", "tk"], "left").select("doc_id", "text", "spans").mapInArrow(run, schema)
