@@ -7,9 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotwise.llm import secrets, topk_search
+from slotwise.llm import jaccard_join, secrets, topk_search
 from slotwise.llm.common import table
 from slotwise.llm.decontaminate import contaminated
+from slotwise.llm.language_id import predict_languages
+from slotwise.llm.line_dedup import line_dedup
+from slotwise.llm.packing import pack
+from slotwise.llm.personal_data import find_personal_data
+from slotwise.llm.repair import repair_round_trip
 from slotwise.llm.substring_dedup import remove_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +27,14 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op1_ngram_jaccard_join(spark, d):
+    return jaccard_join.near_duplicates(table(spark, d, "documents"))
+
+
+ORACLES["op1_ngram_jaccard_join"] = jaccard_join.ORACLE
+
+
 @query
 def op2_topk_search(spark, d):
     return topk_search.top_k(table(spark, d, "embeddings"), F.col("vec_id") % 50 == 0)
@@ -30,6 +43,31 @@ def op2_topk_search(spark, d):
 ORACLES["op2_topk_search"] = topk_search.ORACLE
 
 
+@query
+def op3_personal_data(spark, d):
+    return find_personal_data(table(spark, d, "documents"))
+
+
+@query
+def op4_line_dedup(spark, d):
+    return line_dedup(table(spark, d, "documents"), with_text=False)
+
+
+@query
+def op5_repair_ids(spark, d):
+    return repair_round_trip(table(spark, d, "documents"))
+
+
+@query
+def op6_language_id(spark, d):
+    return predict_languages(table(spark, d, "documents"))
+
+
+@query
+def op7_packing(spark, d):
+    return pack(table(spark, d, "documents"))
+
+
 @query
 def op8_secret_scan(spark, d):
     return secrets.scan_secrets(table(spark, d, "documents"))
