@@ -60,7 +60,7 @@ class Sizes:
     """Compressed size of a text by language."""
 
     def __init__(self, contents: dict[str, bytes]):
-        self.languages = sorted(contents)
+        self.languages = list(contents)  # the most frequent first, so it takes ties
         self.coders = []
         for lang in self.languages:
             dictionary = zstandard.ZstdCompressionDict(contents[lang], dict_type=zstandard.DICT_TYPE_RAWCONTENT)

@@ -40,13 +40,15 @@ def _chosen(seq: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     bucket = (code * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - _BUCKETS)).astype(np.int64)
     count = np.bincount(bucket, minlength=1 << _BUCKETS)
     rank = (count[bucket] << _BUCKETS) | bucket
-    take = rank >= LEAST_USES << _BUCKETS
-    take[1:] &= rank[1:] > rank[:-1]
-    take[:-1] &= rank[:-1] >= rank[1:]
-    at = np.flatnonzero(take)
-    # Equal ranks side by side can be different pairs of one bucket; overlapping places keep the first.
-    if len(at):
-        at = at[np.concatenate([[True], np.diff(at) > 1])]
+    # Runs of equal rank, as in repeated ids, take every other place if both neighbours are less frequent.
+    first = np.flatnonzero(np.concatenate([[True], rank[1:] != rank[:-1]]))
+    top = rank[first]
+    good = top >= LEAST_USES << _BUCKETS
+    good[1:] &= top[1:] > top[:-1]
+    good[:-1] &= top[:-1] > top[1:]
+    size = np.diff(np.append(first, len(rank)))[good]
+    at = np.repeat(first[good], (size + 1) // 2)
+    at += 2 * (np.arange(len(at)) - np.repeat(np.cumsum((size + 1) // 2) - (size + 1) // 2, (size + 1) // 2))
     return at, code[at]
 
 
