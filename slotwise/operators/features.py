@@ -37,50 +37,48 @@ def with_lags(df: DataFrame, partition: Sequence[str], cfg: SeriesConfig = DEFAU
     return df.withColumns({f"lag_{k}": F.lag(cfg.value, k).over(w) for k in cfg.lag_steps})
 
 
+def _moments(value: str, frame) -> tuple[Column, Column, Column]:
+    """Count, mean and sum of squared deviations of a growing frame, which Spark updates stably."""
+    n = F.count(value).over(frame)
+    return n, F.coalesce(F.avg(value).over(frame), F.lit(0.0)), F.coalesce(F.var_pop(value).over(frame), F.lit(0.0)) * n
+
+
 def with_rolling(df: DataFrame, partition: Sequence[str], cfg: SeriesConfig = DEFAULT) -> DataFrame:
     """Mean and sample deviation of the w rows before the current one.
 
-    A sliding frame costs w updates per row. Running totals of count, sum and squares
-    cost one, and a frame is the difference of two of them, so a week of half-hours is as
-    cheap as a day. Values are centred on the mean of their block, which keeps the squares
-    small enough for the subtraction.
+    A sliding frame costs w updates per row. Here rows are cut into chunks of w: a frame is the end of one
+    chunk and the beginning of the next. Moments grow forwards and backwards within chunks, one update per
+    row each, and the two parts of a frame are combined by the pairwise formula. Nothing is subtracted, so
+    a large value leaves no trace in frames that no longer hold it.
     """
     names = list(df.columns)
     order = Window.partitionBy(*partition).orderBy(cfg.time)
-    running = order.rowsBetween(Window.unboundedPreceding, 0)
-    df = df.withColumn("_c", F.coalesce(F.avg(cfg.value).over(Window.partitionBy(*partition)), F.lit(0.0)))
-    centred = F.col(cfg.value) - F.col("_c")
-    df = df.withColumns(
-        {
-            "_n": F.count(cfg.value).over(running),
-            "_s": F.coalesce(F.sum(centred).over(running), F.lit(0.0)),
-            "_q": F.coalesce(F.sum(centred * centred).over(running), F.lit(0.0)),
-        }
-    )
-    ends = {f"{c}_1": F.coalesce(F.lag(c, 1).over(order), F.lit(0).cast(t)) for c, t in _TOTALS}
-    starts = {
-        f"{c}_{w + 1}": F.coalesce(F.lag(c, w + 1).over(order), F.lit(0).cast(t))
-        for w in cfg.rolling_windows for c, t in _TOTALS
-    }
-    df = df.withColumns({**ends, **starts})
+    df = df.withColumn("_r", F.row_number().over(order) - 1)
+    for w in cfg.rolling_windows:
+        df = df.withColumn(f"_c{w}", F.floor(F.col("_r") / w))
+        grown = Window.partitionBy(*partition, f"_c{w}").rowsBetween(Window.unboundedPreceding, 0)
+        for side, by in (("p", F.col(cfg.time)), ("s", F.col(cfg.time).desc())):
+            df = df.withColumns({f"_{part}{side}{w}": c for part, c in zip("nmq", _moments(cfg.value, grown.orderBy(by)), strict=True)})
+    parts: dict[str, Column] = {}
+    for w in cfg.rolling_windows:
+        # A frame that is one whole chunk has no second part.
+        split = (F.col("_r") >= w) & (F.col("_r") % w != 0)
+        for part in "nmq":
+            parts[f"_{part}1_{w}"] = F.coalesce(F.lag(f"_{part}p{w}", 1).over(order), F.lit(0))
+            parts[f"_{part}2_{w}"] = F.when(split, F.coalesce(F.lag(f"_{part}s{w}", w).over(order), F.lit(0))).otherwise(F.lit(0))
+    df = df.withColumns(parts)
     out: dict[str, Column] = {}
     for w in cfg.rolling_windows:
-        n = F.col("_n_1") - F.col(f"_n_{w + 1}")
-        s = F.col("_s_1") - F.col(f"_s_{w + 1}")
-        q = F.col("_q_1") - F.col(f"_q_{w + 1}")
+        n1, m1, q1, n2, m2, q2 = (F.col(f"_{part}{side}_{w}") for side in "12" for part in "nmq")
+        n, apart = n1 + n2, m2 - m1
         enough = max(1, w // 4)
-        left = q - s * s / n
-        # Below the rounding error of the totals the values of the frame are equal.
-        squares = F.when(left > F.col("_q_1") * ROUNDING, left).otherwise(0.0)
-        out[f"roll_mean_{w}"] = F.when(n >= enough, F.col("_c") + s / n)
+        mean = F.when(n1 == 0, m2).otherwise(m1 + apart * n2 / n)
+        squares = q1 + q2 + F.when((n1 > 0) & (n2 > 0), apart * apart * n1 * n2 / n).otherwise(0.0)
+        out[f"roll_mean_{w}"] = F.when(n >= enough, mean)
         out[f"roll_std_{w}"] = F.when(n >= max(enough, 2), F.sqrt(squares / (n - 1)))
     return df.withColumns(out).select(*names, *out)
 
 
-ROUNDING = 1e-13
-_TOTALS = (("_n", "bigint"), ("_s", "double"), ("_q", "double"))
-
-
 def _in_blocks(df: DataFrame, cfg: SeriesConfig, look_back: int) -> DataFrame:
     return B.open_blocks(df, slot_of(F.col(cfg.time), cfg.step_us), cfg.block_slots, look_back)
 
@@ -102,8 +100,11 @@ def history_features(df: DataFrame, cfg: SeriesConfig = DEFAULT) -> DataFrame:
     return B.close_blocks(with_rolling(with_lags(blocked, part, cfg), part, cfg))
 
 
-def build_feature_table(merged: DataFrame, cfg: SeriesConfig = DEFAULT, on_grid: bool = True) -> DataFrame:
-    """Merged rows to features. Rows off the grid are resampled first."""
+def build_feature_table(merged: DataFrame, cfg: SeriesConfig = DEFAULT, on_grid: bool = False) -> DataFrame:
+    """Merged rows to features, resampled to the grid first; ``on_grid`` says that they are on it already.
+
+    Without that step lags of rows that miss a slot would be lags of rows, not of time.
+    """
     if not on_grid:
         numeric = [
             f.name for f in merged.schema.fields

@@ -65,7 +65,11 @@ def asof_join(
     tolerance = tolerance_minutes * 60_000_000
     wanted = F.struct(micros(F.col(time)).alias("us"), *[F.col(v) for v in values], F.col(time).alias("t"))
     rank = F.col(order) if order else F.lit(0)
-    candidates = right.filter(F.col(time).isNotNull()).select(
+    # A null key equals nothing: without this one plan would match two of them.
+    known = F.col(time).isNotNull()
+    for c in by:
+        known &= F.col(c).isNotNull()
+    candidates = right.filter(known).select(
         *by, wanted.alias("_hit"), rank.alias("_rank")
     )
     home = floor_div(F.col("_hit.us"), tolerance)
@@ -102,9 +106,10 @@ def _lookup_plan(left, candidates, by, tolerance, spread, salts) -> DataFrame:
 
 def _merge_plan(left, candidates, by, tolerance, spread, salts) -> DataFrame:
     salt = F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
-    rows = left.withColumns({"_salt": salt, "_side": F.lit(1), "_rank": F.lit(None).cast("bigint")})
+    ranked = candidates.schema["_rank"].dataType
+    rows = left.withColumns({"_salt": salt, "_side": F.lit(1), "_rank": F.lit(None).cast(ranked)})
     copies = candidates.select(
-        *by, "_bucket", F.col("_hit.us").alias("_us"), F.col("_rank").cast("bigint").alias("_rank"),
+        *by, "_bucket", F.col("_hit.us").alias("_us"), "_rank",
         F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"), F.lit(0).alias("_side"), "_hit",
     )
     # Right rows sort before left rows of the same instant, so an exact match counts.

@@ -8,10 +8,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotwise.config import SeriesConfig
+from slotwise.config import DEFAULT, SeriesConfig
 from slotwise.functions.expressions import winsorise
-from slotwise.operators.cleaning import clean_weather, dedupe_first
-from slotwise.operators.features import features_from_readings
+from slotwise.functions.timegrid import slot_of, slot_start
+from slotwise.operators.cleaning import clean_meter, clean_weather, dedupe_first
+from slotwise.operators.features import build_feature_table, features_from_readings
+from slotwise.operators.joins import merge_sources
 from slotwise.operators.models import LinearScore
 from slotwise.session import written
 from slotwise.sources.readers import calendar_days
@@ -77,6 +79,25 @@ def meter_hourly(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def meter_half_hourly(spark: SparkSession, d: str) -> DataFrame:
+    """Readings of the default grid: on the half hour, but for one of ten after the first day, seven minutes late."""
+    e = meter_raw(spark, d)
+    start = slot_start(slot_of(F.col("timestamp"), DEFAULT.step_us), DEFAULT.step_us)
+    late = (F.col("seq") % 10 == 0) & (F.dayofmonth("timestamp") > 1)
+    return e.withColumn("timestamp", F.when(late, F.timestamp_add("MINUTE", F.lit(7), start)).otherwise(start)).withColumn(
+        "is_real_data", F.when(F.col("seq") % 3 != 0, F.col("is_real_data")))
+
+
+def pipeline_features(spark: SparkSession, d: str) -> DataFrame:
+    """Raw readings, weather and calendar to features, step by step on the default grid, with all flags.
+
+    Weather has a row per hour: written first, its true size decides how it is joined.
+    """
+    cleaned = clean_meter(meter_half_hourly(spark, d))
+    merged = merge_sources(cleaned, written(weather(spark, d), "weather"), calendar(spark, d).drop("day_of_week"))
+    return build_feature_table(merged, on_grid=True)
+
+
 def readings(spark: SparkSession, d: str) -> DataFrame:
     """First reading per key, clipped."""
     first = dedupe_first(meter_raw(spark, d), ["household_id", "timestamp"])
@@ -110,10 +131,10 @@ def calendar(spark: SparkSession, d: str) -> DataFrame:
     return calendar_days(span, "first", "last", holidays)
 
 
-def grid(spark: SparkSession, d: str) -> DataFrame:
+def grid(spark: SparkSession, d: str, cfg: SeriesConfig = GRID) -> DataFrame:
     from slotwise.operators.grid import resample_mean_last
 
-    return resample_mean_last(readings(spark, d), GRID, order=())
+    return resample_mean_last(readings(spark, d), cfg, order=())
 
 
 def features(spark: SparkSession, d: str) -> DataFrame:

@@ -118,6 +118,45 @@ STEPS = {
                coalesce(v >= 20, FALSE) AS is_winsorised, v IS NULL AS was_missing
         FROM (SELECT *, CASE WHEN consumption_kwh > 20 THEN 20 ELSE consumption_kwh END AS v FROM aligned)
         WINDOW w AS (PARTITION BY household_id ORDER BY timestamp)""",
+    "grid_half": """
+        SELECT g.household_id, g.timestamp, avg(r.consumption_kwh) AS consumption_kwh, avg(r.raw_kwh) AS raw_kwh
+        FROM (SELECT household_id, unnest(generate_series(
+                         time_bucket(INTERVAL 30 MINUTE, min(timestamp)), max(timestamp), INTERVAL 30 MINUTE)) AS timestamp
+              FROM readings GROUP BY household_id) g
+        LEFT JOIN (SELECT *, CASE WHEN event_id % 53 <> 0 THEN value / 10 END AS raw_kwh
+                   FROM readings JOIN events ON event_id = seq % 1000000000) r
+             ON r.household_id = g.household_id AND time_bucket(INTERVAL 30 MINUTE, r.timestamp) = g.timestamp
+        GROUP BY 1, 2""",
+    "meter_half": """
+        SELECT seq, household_id, consumption_kwh, CASE WHEN seq % 3 <> 0 THEN is_real_data END AS is_real_data,
+               time_bucket(INTERVAL 30 MINUTE, timestamp)
+               + CASE WHEN seq % 10 = 0 AND day(timestamp) > 1 THEN INTERVAL 7 MINUTE ELSE INTERVAL 0 MINUTE END AS timestamp
+        FROM meter_raw""",
+    "aligned_half": """
+        SELECT g.household_id, g.timestamp, h.consumption_kwh, h.is_real_data
+        FROM (SELECT household_id, timestamp
+              FROM (SELECT DISTINCT household_id FROM meter_half),
+                   (SELECT unnest(generate_series(min(timestamp), max(timestamp), INTERVAL 30 MINUTE)) AS timestamp FROM meter_half)) g
+        LEFT JOIN (SELECT * FROM meter_half
+                   QUALIFY row_number() OVER (PARTITION BY household_id, timestamp ORDER BY seq) = 1) h
+             ON h.household_id = g.household_id AND h.timestamp = g.timestamp""",
+    "cleaned_half": """
+        SELECT household_id, timestamp,
+               last_value(v IGNORE NULLS) OVER (w ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS consumption_kwh,
+               coalesce(last_value(is_real_data IGNORE NULLS) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+                        first_value(is_real_data IGNORE NULLS) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING),
+                        FALSE) AS is_real_meter_data,
+               coalesce(v >= 20, FALSE) AS is_winsorised, v IS NULL AS was_missing
+        FROM (SELECT *, CASE WHEN consumption_kwh > 20 THEN 20 ELSE consumption_kwh END AS v FROM aligned_half)
+        WINDOW w AS (PARTITION BY household_id ORDER BY timestamp)""",
+    "merged_half": """
+        SELECT f.*,
+               CASE WHEN f.timestamp - w.timestamp <= INTERVAL 1 HOUR THEN w.temperature_c END AS temperature_c,
+               CASE WHEN f.timestamp - w.timestamp <= INTERVAL 1 HOUR THEN w.humidity_pct END AS humidity_pct,
+               CASE WHEN f.timestamp - w.timestamp <= INTERVAL 1 HOUR THEN w.wind_speed_ms END AS wind_speed_ms,
+               c.is_weekend, c.is_holiday
+        FROM cleaned_half f ASOF LEFT JOIN weather w ON f.timestamp >= w.timestamp
+        LEFT JOIN calendar c ON c.date = CAST(f.timestamp AS DATE)""",
     "known": "SELECT * FROM features WHERE consumption_kwh IS NOT NULL",
     "times": """
         SELECT timestamp, row_number() OVER (ORDER BY timestamp) - 1 AS pos, count(*) OVER () AS n
@@ -155,13 +194,10 @@ STEPS = {
         FROM versions v LEFT JOIN best b ON b.model_name = v.model_name AND b.version = v.version""",
     "model_x": "SELECT household_id, timestamp AS forecast_timestamp, "
         + ", ".join(f"coalesce(CAST({c} AS DOUBLE), 0) AS {c}" for c in WEIGHTS.coefficients) + " FROM features",
-    "background": """
-        SELECT * FROM model_x
-        ORDER BY md5(household_id || '|' || strftime(forecast_timestamp, '%Y-%m-%d %H:%M:%S') || '#42') LIMIT 100""",
-    "means": "SELECT " + ", ".join(f"avg({c}) AS {c}" for c in WEIGHTS.coefficients) + " FROM background",
-    "phi": "SELECT x.household_id, x.forecast_timestamp, u.feature, u.phi FROM model_x x, means m, LATERAL (VALUES "
-        + ", ".join(f"('{c}', (x.{c} - m.{c}) * CAST({w} AS DOUBLE))" for c, w in WEIGHTS.coefficients.items())
-        + ") AS u(feature, phi)",
+    "means": "SELECT " + ", ".join(f"avg({c}) AS {c}" for c in WEIGHTS.coefficients) + " FROM model_x",
+    "phi": "SELECT x.household_id, x.forecast_timestamp, u.feature, u.phi, u.x FROM model_x x, means m, LATERAL (VALUES "
+        + ", ".join(f"('{c}', (x.{c} - m.{c}) * CAST({w} AS DOUBLE), CAST(x.{c} AS DOUBLE))" for c, w in WEIGHTS.coefficients.items())
+        + ") AS u(feature, phi, x)",
     "recent": """
         SELECT household_id, timestamp, consumption_kwh,
                row_number() OVER (PARTITION BY household_id ORDER BY timestamp DESC, seq DESC) AS back
@@ -222,7 +258,6 @@ def _prepend(sql: str) -> str:
 
 def rd(column: str, digits: int = 8, name: str | None = None) -> str:
     """Rounded as the queries round: ties decided alike, negative zero made positive."""
-    digits = min(digits, 6) if (name or column).startswith("roll_std") else digits
     return f"{rnd(column, digits)} AS {name or column}"
 
 
@@ -327,8 +362,8 @@ QUERIES: dict[str, str] = {
                {rd('CASE WHEN temperature_c IS NOT NULL THEN greatest(temperature_c - 22, 0) END', 8, 'cooling_degree')}
         FROM weather_raw""",
     "calendar_features": f"""
-        SELECT f.household_id, f.timestamp, CASE WHEN f.timestamp >= TIMESTAMP '2024-01-03' THEN f.is_weekend ELSE 0 END AS is_weekend,
-               CASE WHEN f.timestamp >= TIMESTAMP '2024-01-03' THEN f.is_holiday ELSE 0 END AS is_holiday,
+        SELECT f.household_id, f.timestamp, CASE WHEN day(f.timestamp) % 9 <> 0 THEN f.is_weekend ELSE 0 END AS is_weekend,
+               CASE WHEN day(f.timestamp) % 9 <> 0 THEN f.is_holiday ELSE 0 END AS is_holiday,
                f.hour, f.minute, f.day_of_week, {rds('hour_sin hour_cos dow_sin dow_cos')} FROM features f""",
     "lag_features": f"""
         SELECT household_id, timestamp, {rd('consumption_kwh', 8)},
@@ -346,6 +381,31 @@ QUERIES: dict[str, str] = {
         FROM grid
         WINDOW w4 AS (PARTITION BY household_id ORDER BY timestamp ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING),
                w28 AS (PARTITION BY household_id ORDER BY timestamp ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING)""",
+    "lag_features_default": f"""
+        SELECT household_id, timestamp, {rd('consumption_kwh', 8)},
+               {', '.join(rd(f"lag(consumption_kwh, {k}) OVER (PARTITION BY household_id ORDER BY timestamp)", 8, f"lag_{k}") for k in (1, 2, 48, 336))}
+        FROM grid_half""",
+    "rolling_default": f"""
+        SELECT household_id, timestamp,
+               {', '.join(rd(f"CASE WHEN count(raw_kwh) OVER w{w} >= {w // 4} THEN {f}(raw_kwh) OVER w{w} END", 8, f"roll_{m}_{w}") for w in (48, 336) for m, f in (("mean", "avg"), ("std", "stddev_samp")))}
+        FROM grid_half
+        WINDOW w48 AS (PARTITION BY household_id ORDER BY timestamp ROWS BETWEEN 48 PRECEDING AND 1 PRECEDING),
+               w336 AS (PARTITION BY household_id ORDER BY timestamp ROWS BETWEEN 336 PRECEDING AND 1 PRECEDING)""",
+    "pipeline_features": f"""
+        SELECT household_id, timestamp, is_winsorised, was_missing, is_real_meter_data, {rds('consumption_kwh ' + WEATHER)},
+               CAST(coalesce(is_weekend, FALSE) AS BIGINT) AS is_weekend, CAST(coalesce(is_holiday, FALSE) AS BIGINT) AS is_holiday,
+               hour(timestamp) AS hour, minute(timestamp) AS minute, isodow(timestamp) - 1 AS day_of_week,
+               {rd('sin(2 * pi() * (hour(timestamp) + minute(timestamp) / 60.0) / 24)', 8, 'hour_sin')},
+               {rd('cos(2 * pi() * (hour(timestamp) + minute(timestamp) / 60.0) / 24)', 8, 'hour_cos')},
+               {rd('sin(2 * pi() * (isodow(timestamp) - 1) / 7)', 8, 'dow_sin')}, {rd('cos(2 * pi() * (isodow(timestamp) - 1) / 7)', 8, 'dow_cos')},
+               {rd('CASE WHEN temperature_c IS NOT NULL THEN greatest(18 - temperature_c, 0) END', 8, 'heating_degree')},
+               {rd('CASE WHEN temperature_c IS NOT NULL THEN greatest(temperature_c - 22, 0) END', 8, 'cooling_degree')},
+               {', '.join(rd(f"lag(consumption_kwh, {k}) OVER o", 8, f"lag_{k}") for k in (1, 2, 48, 336))},
+               {', '.join(rd(f"CASE WHEN count(consumption_kwh) OVER w{w} >= {w // 4} THEN {f}(consumption_kwh) OVER w{w} END", 8, f"roll_{m}_{w}") for w in (48, 336) for m, f in (("mean", "avg"), ("std", "stddev_samp")))}
+        FROM merged_half
+        WINDOW o AS (PARTITION BY household_id ORDER BY timestamp),
+               w48 AS (PARTITION BY household_id ORDER BY timestamp ROWS BETWEEN 48 PRECEDING AND 1 PRECEDING),
+               w336 AS (PARTITION BY household_id ORDER BY timestamp ROWS BETWEEN 336 PRECEDING AND 1 PRECEDING)""",
     "build_features": f"""
         SELECT household_id, timestamp, is_weekend, is_holiday, hour, minute, day_of_week,
                {rds('consumption_kwh temperature_c humidity_pct wind_speed_ms hour_sin hour_cos dow_sin dow_cos '
@@ -416,19 +476,18 @@ QUERIES: dict[str, str] = {
         WHERE temperature_c IS NOT NULL AND lag_1 IS NOT NULL AND roll_mean_4 IS NOT NULL
         ORDER BY md5(household_id || '|' || strftime(timestamp, '%Y-%m-%d %H:%M:%S') || '#42') LIMIT 500""",
     "local_attribution": f"""
-        SELECT household_id, forecast_timestamp, {rd('sum(abs(phi))', 8, 'top_total')}, CAST(8 AS BIGINT) AS n, {rd('max(abs(phi))', 8, 'largest')}
-        FROM (SELECT * FROM phi QUALIFY row_number() OVER (PARTITION BY household_id, forecast_timestamp ORDER BY abs(phi) DESC) <= 8)
-        GROUP BY 1, 2""",
+        SELECT household_id, forecast_timestamp, row_number() OVER o AS rank, feature, {rd('phi', 6, 'contribution')}, {rd('x', 6, 'feature_value')}
+        FROM phi WINDOW o AS (PARTITION BY household_id, forecast_timestamp ORDER BY abs(phi) DESC, feature)
+        QUALIFY row_number() OVER o <= 8""",
     "global_importance": f"""SELECT feature, {rd('avg(abs(phi))', 8, 'mean_abs_contribution')} FROM phi GROUP BY 1
         ORDER BY avg(abs(phi)) DESC, feature LIMIT 10""",
     "linreg_fit": f"""SELECT count(*) AS n, {rd('regr_slope(l_extendedprice, l_quantity)', 3, 'slope')},
         {rd('regr_intercept(l_extendedprice, l_quantity)', 3, 'intercept')} FROM lineitem""",
     "score_requests": "SELECT household_id, forecast_timestamp, predicted_consumption_kwh + 0.0 AS predicted_consumption_kwh FROM forecasts",
-    "explain_requests": "SELECT household_id, forecast_timestamp, CAST(1 AS BIGINT) AS rank, contribution FROM ("
-        f"SELECT household_id, forecast_timestamp, {rnd('arg_max(phi, abs(phi))', 6)} AS contribution FROM ("
-        "SELECT x.household_id, x.forecast_timestamp, u.phi FROM request_x x, means m, LATERAL (VALUES "
-        + ", ".join(f"((x.{c} - m.{c}) * CAST({w} AS DOUBLE))" for c, w in WEIGHTS.coefficients.items())
-        + ") AS u(phi)) GROUP BY 1, 2)",
+    "explain_requests": f"SELECT household_id, forecast_timestamp, row_number() OVER o AS rank, feature, {rd('phi', 6, 'contribution')}, {rd('x', 6, 'feature_value')} FROM ("
+        "SELECT x.household_id, x.forecast_timestamp, u.feature, u.phi, u.x FROM request_x x, means m, LATERAL (VALUES "
+        + ", ".join(f"('{c}', (x.{c} - m.{c}) * CAST({w} AS DOUBLE), CAST(x.{c} AS DOUBLE))" for c, w in WEIGHTS.coefficients.items())
+        + ") AS u(feature, phi, x)) WINDOW o AS (PARTITION BY household_id, forecast_timestamp ORDER BY abs(phi) DESC, feature) QUALIFY row_number() OVER o <= 8",
     "recommendations": f"""
         WITH x AS (SELECT q.household_id, q.forecast_timestamp, CAST(hour(q.forecast_timestamp) AS BIGINT) AS hour,
                           coalesce(greatest(18 - q.temperature_c, 0) + CASE WHEN q.temperature_c IS NULL THEN NULL ELSE 0 END, 0) AS hd,
@@ -471,7 +530,7 @@ QUERIES: dict[str, str] = {
     "min_sample_gate": """
         SELECT household_id, count(*) AS n_readings, count(*) >= 2 AS can_plot, count(*) >= 5 AS can_forecast,
                count(*) >= 30 AS can_check_drift
-        FROM meter_raw WHERE timestamp < TIMESTAMP '2024-01-14' GROUP BY 1""",
+        FROM meter_raw GROUP BY 1""",
     "location_mix": """
         SELECT count(*) FILTER (WHERE event_id % 4 <> 0) AS n_here, count(*) AS n_total,
                count(*) FILTER (WHERE event_id % 4 <> 0) BETWEEN 1 AND count(*) - 1 AS is_mixed FROM events""",

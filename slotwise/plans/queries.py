@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotwise.config import SeriesConfig
+from slotwise.config import DEFAULT, SeriesConfig
 from slotwise.functions import expressions as X
 from slotwise.functions.timegrid import to_local_time
 from slotwise.operators import attribution as A
@@ -36,11 +36,10 @@ TIE = 1.3e-10
 
 
 def rounded(df: DataFrame, digits: int = 8) -> DataFrame:
-    """Doubles to few digits for the comparison; deviations, being roots, to fewer."""
+    """Doubles to few digits for the comparison."""
 
     def one(name: str) -> Column:
-        n = min(digits, 6) if name.startswith("roll_std") else digits
-        return F.round(F.col(name) + TIE, n).alias(name)
+        return F.round(F.col(name) + TIE, digits).alias(name)
 
     return df.select(*[one(f.name) if f.dataType.typeName() == "double" else F.col(f.name) for f in df.schema.fields])
 
@@ -316,7 +315,8 @@ def degree_features(spark, d):
 
 @query
 def calendar_features(spark, d):
-    flagged = joins.join_calendar(fx.grid(spark, d), fx.calendar(spark, d).filter("date > date'2024-01-02'"))
+    # A calendar without the days whose number 9 divides: their flags are unknown.
+    flagged = joins.join_calendar(fx.grid(spark, d), fx.calendar(spark, d).filter("day(date) % 9 <> 0"))
     return rounded(features.add_calendar_features(flagged.drop("consumption_kwh")))
 
 
@@ -337,11 +337,29 @@ def rolling_std(spark, d):
     return rounded(out.select("household_id", "timestamp", "roll_std_4", "roll_std_28"))
 
 
+@query
+def lag_features_default(spark, d):
+    return rounded(features.add_lag_features(fx.grid(spark, d, DEFAULT)))
+
+
+@query
+def rolling_default(spark, d):
+    """Both windows of the default grid over values that are not clipped."""
+    raw = grid.resample_mean_last(cleaning.dedupe_first(fx.meter_raw(spark, d), ["household_id", "timestamp"]), DEFAULT, order=())
+    out = features.add_rolling_features(raw)
+    return rounded(out.select("household_id", "timestamp", *[f"roll_{m}_{w}" for w in DEFAULT.rolling_windows for m in ("mean", "std")]))
+
+
 @query
 def build_features(spark, d):
     return rounded(fx.features(spark, d))
 
 
+@query
+def pipeline_features(spark, d):
+    return rounded(fx.pipeline_features(spark, d))
+
+
 @query
 def feature_projection(spark, d):
     f = fx.features(spark, d).withColumns({"was_missing": F.lit(False), "is_real_meter_data": F.lit(True)})
@@ -527,23 +545,16 @@ def _model_input(spark, d) -> DataFrame:
     return scoring.pad_and_fill(fx.stored_features(spark, d).withColumnRenamed("timestamp", "forecast_timestamp"), MODEL_FEATURES)
 
 
-def _background(x: DataFrame) -> DataFrame:
-    key = F.concat("household_id", F.lit("|"), F.date_format("forecast_timestamp", "yyyy-MM-dd HH:mm:ss"))
-    return A.reference_sample(x, MODEL_FEATURES, key, n=100)
-
-
 @query
 def local_attribution(spark, d):
     x = _model_input(spark, d)
-    out = A.top_contributions(A.linear_attributions(x, fx.WEIGHTS, _background(x)), scoring.KEYS, MODEL_FEATURES)
-    return rounded(out.withColumn("contribution", F.abs("contribution")).groupBy(*scoring.KEYS).agg(
-        F.sum("contribution").alias("top_total"), F.max("rank").alias("n"), F.max("contribution").alias("largest")))
+    return rounded(A.top_contributions(A.linear_attributions(x, fx.WEIGHTS, x), scoring.KEYS, MODEL_FEATURES), 6)
 
 
 @query
 def global_importance(spark, d):
     x = _model_input(spark, d)
-    return rounded(A.global_importance(A.linear_attributions(x, fx.WEIGHTS, _background(x)), MODEL_FEATURES))
+    return rounded(A.global_importance(A.linear_attributions(x, fx.WEIGHTS, x), MODEL_FEATURES))
 
 
 @query
@@ -591,9 +602,8 @@ def model_comparison(spark, d):
 def tree_attribution(spark, d):
     f = written(models.prepare(fx.stored_features(spark, d), FIT_COLUMNS, fx.GRID, val_share=FIT_VAL), "trees")
     model = models.factories(trees=5)["random_forest"]("consumption_kwh").fit(f.filter("split = 'train'"))
-    key = F.concat("household_id", F.lit("|"), F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss"))
-    sample = A.reference_sample(f.filter("split = 'val'"), ["household_id", "timestamp", *FIT_COLUMNS], key, n=300)
-    return A.tree_attributions(sample, model, FIT_COLUMNS, ["household_id", "timestamp"])
+    rows = f.filter("split = 'val'").select("household_id", "timestamp", *FIT_COLUMNS)
+    return A.tree_attributions(rows, model, FIT_COLUMNS, ["household_id", "timestamp"])
 
 
 @query
@@ -603,9 +613,7 @@ def score_requests(spark, d):
 
 @query
 def explain_requests(spark, d):
-    background = _background(_model_input(spark, d))
-    out = scoring.explain_requests(fx.requests(spark, d), fx.WEIGHTS, background, fx.GRID)
-    return rounded(out.filter("rank = 1").drop("feature_value", "feature"), 6)
+    return rounded(scoring.explain_requests(fx.requests(spark, d), fx.WEIGHTS, _model_input(spark, d), fx.GRID), 6)
 
 
 @query
@@ -695,8 +703,7 @@ def stream_session_stats(spark, d):
 
 @query
 def min_sample_gate(spark, d):
-    recent = fx.meter_raw(spark, d).filter(F.col("timestamp") < fx.ntz("2024-01-14"))
-    return live.sample_gates(recent)
+    return live.sample_gates(fx.meter_raw(spark, d))
 
 
 @query
@@ -753,7 +760,7 @@ def drift_status(spark, d):
 
 
 def flagship(spark: SparkSession, d: str) -> DataFrame:
-    return build_features(spark, d)
+    return pipeline_features(spark, d)
 
 
 __all__ = ["QUERIES", "SeriesConfig", "flagship"]

@@ -11,10 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A new folder below the checkpoint folder the cluster names.
 
-    Only where the session names none (plain local runs) is one created and set.
+    Only a local session that names none gets one of its own; on a cluster a folder of one machine
+    would not be seen by the others, so a missing setting is an error there.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
         spark.sparkContext.setCheckpointDir(root)
         spark.conf.set("spark.checkpoint.dir", root)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import logging
 import zipfile
 from collections.abc import Callable, Iterator, Sequence
 from pathlib import PurePosixPath
@@ -14,6 +15,8 @@ from pyspark.sql import types as T
 
 from slotwise.functions.timegrid import to_naive_utc
 
+LOG = logging.getLogger(__name__)
+
 # Accepted column names, in order of preference for the value.
 TIME_NAMES = ("timestamp", "datetime", "date_time", "date", "time")
 VALUE_NAMES = (
@@ -145,16 +148,19 @@ def read_weather_payloads(spark: SparkSession, path: str) -> DataFrame:
 def read_with_fallback(
     primary: Callable[[], DataFrame], fallback: Callable[[], DataFrame], use_real: bool = True
 ) -> DataFrame:
-    """The primary source, or the fallback if it is switched off or cannot be opened.
+    """The primary source, or the fallback if it is switched off, cannot be opened or read, or is empty.
 
-    Only opening (path and schema) is tried here; the rows stay lazy. The provenance
+    Opening and the first row are tried here; the other rows stay lazy. The provenance
     column says which one it was.
     """
     if use_real:
         try:
-            return primary().withColumn("is_real_data", F.lit(True))
+            source = primary()
+            if not source.isEmpty():
+                return source.withColumn("is_real_data", F.lit(True))
+            LOG.warning("primary source is empty, using the fallback")
         except Exception as error:  # any failure of the source selects the fallback
-            print(f"primary source failed ({type(error).__name__}), using the fallback")
+            LOG.warning("primary source failed (%s), using the fallback", type(error).__name__)
     return fallback().withColumn("is_real_data", F.lit(False))
 
 

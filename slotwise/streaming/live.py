@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from slotwise import config as C
 from slotwise.config import DEFAULT, SeriesConfig
-from slotwise.functions.timegrid import from_micros, micros, slot_of, slot_start, to_instant, to_naive_utc
+from slotwise.functions.timegrid import from_micros, micros, slot_of, slot_start
 from slotwise.operators.features import features_from_readings
 from slotwise.operators.joins import asof_join, last_n
 
@@ -48,24 +48,27 @@ def newest_per_key(table: DataFrame, keys: Sequence[str]) -> DataFrame:
     return table.groupBy(*keys).agg(*[F.max_by(c, "batch_id").alias(c) for c in rest])
 
 
-def tumbling_mean(stream: DataFrame, cfg: SeriesConfig = DEFAULT, late: str = "1 hour") -> DataFrame:
-    """Mean per entity and slot of a stream of naive-UTC readings.
-
-    Use it in update mode: slots are written as they change and leave the state once they
-    are ``late`` behind. Rows later than that are dropped and counted by the state metrics.
-    """
-    instant = stream.withColumn("_at", to_instant(F.col(cfg.time))).withWatermark("_at", late)
-    step = f"{cfg.freq_minutes} minutes"
-    means = instant.groupBy(cfg.entity, F.window("_at", step).alias("_w")).agg(
-        F.avg(cfg.value).alias(cfg.value), F.count(F.lit(1)).alias("n_readings")
+def slot_sums(readings: DataFrame, cfg: SeriesConfig = DEFAULT) -> DataFrame:
+    """Sum, known values and readings per entity and slot: what adds up over batches."""
+    start = slot_start(slot_of(F.col(cfg.time), cfg.step_us), cfg.step_us)
+    return readings.groupBy(cfg.entity, start.alias(cfg.time)).agg(
+        F.sum(cfg.value).alias("_sum"), F.count(cfg.value).alias("_known"), F.count(F.lit(1)).alias("n_readings")
     )
-    return means.select(cfg.entity, to_naive_utc(F.col("_w.start")).alias(cfg.time), cfg.value, "n_readings")
 
 
-def tumbling_table(stream: DataFrame, path: str, cfg: SeriesConfig = DEFAULT, late: str = "1 hour") -> DataFrame:
-    run_available(tumbling_mean(stream, cfg, late), batch_folder(f"{path}/out"), f"{path}/checkpoint", "update")
-    table = stream.sparkSession.read.parquet(f"{path}/out")
-    return newest_per_key(table, [cfg.entity, cfg.time])
+def tumbling_table(stream: DataFrame, path: str, cfg: SeriesConfig = DEFAULT) -> DataFrame:
+    """Mean per entity and slot of a stream of naive-UTC readings, however late they come.
+
+    A batch writes its sums, and the reader adds the batches up: no state, no watermark, and a batch
+    that is retried overwrites its own folder.
+    """
+    write = batch_folder(f"{path}/sums")
+    run_available(stream, lambda batch, i: write(slot_sums(batch, cfg), i), f"{path}/checkpoint")
+    sums = stream.sparkSession.read.parquet(f"{path}/sums")
+    total, known = F.sum("_sum"), F.sum("_known")
+    return sums.groupBy(cfg.entity, cfg.time).agg(
+        F.when(known > 0, total / known).alias(cfg.value), F.sum("n_readings").alias("n_readings")
+    )
 
 
 def enrich_stream(

@@ -139,3 +139,29 @@ def test_naive_and_instant_convert_both_ways(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
     assert out.t == at("2024-03-31 01:30") and out.s == 1711848600
+
+
+def test_failed_read_of_the_pointer_is_no_empty_store(spark, folder, monkeypatch):
+    """Only a missing path means that there is no version yet; history is never overwritten."""
+    kept = store.FeatureStore(spark, f"{folder}/versions")
+    df, _ = panel(spark, n_households=1, n=5)
+    kept.write_features(df)
+    schema = spark.read.schema
+
+    class Broken:
+        def schema(self, _):
+            raise RuntimeError("store does not answer")
+
+    monkeypatch.setattr(type(spark), "read", property(lambda _: Broken()))
+    with pytest.raises(RuntimeError):
+        kept._latest(missing_ok=True)
+    monkeypatch.undo()
+    assert schema is not None and kept._latest() == 1
+    kept.write_features(df)
+    assert kept._latest() == 2
+
+
+def test_empty_primary_falls_back(spark):
+    df, _ = panel(spark, n_households=1, n=5)
+    out = readers.read_with_fallback(lambda: df.limit(0), lambda: df)
+    assert out.count() == 5 and not any(r.is_real_data for r in out.collect())

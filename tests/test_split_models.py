@@ -222,3 +222,19 @@ def test_train_and_compare_names_a_champion(spark):
     out = {r.model: r for r in table.collect()}
     assert out["linear_regression"].is_champion and not out["baseline"].is_champion
     assert out["baseline"].mae < 1 and set(fitted) == {"linear_regression"}
+
+
+def test_equal_requests_are_answered_each(spark):
+    from slotwise.operators import scoring
+
+    history = [{"timestamp": at("2024-01-01", 30 * i), "consumption_kwh": float(i)} for i in range(20)]
+    due = at("2024-01-01", 600)
+    rows_in = [("a", due, 5.0, history), ("a", due, 5.0, history), ("a", due, 9.0, history)]
+    requests = spark.createDataFrame(rows_in, "household_id string, forecast_timestamp timestamp_ntz, temperature_c double, recent_readings array<struct<timestamp: timestamp_ntz, consumption_kwh: double>>")
+    model = models.LinearScore({"lag_1": 1.0, "heating_degree": 0.1}, 0.0)
+    got = scoring.score_requests(requests, model, ["lag_1", "heating_degree"])
+    assert sorted(r.predicted_consumption_kwh for r in got.collect()) == pytest.approx([19.9, 20.3, 20.3])
+    numbered = requests.coalesce(1).withColumn("request_id", F.monotonically_increasing_id())
+    forecasts = scoring.score_requests(numbered, model, ["lag_1", "heating_degree"])
+    inputs = scoring.rule_inputs(numbered, forecasts)
+    assert inputs.count() == 3 and inputs.select("request_id").distinct().count() == 3

@@ -34,12 +34,26 @@ def readings(spark, folder, files=3, n=240, shuffle_last=False):
 
 def test_tumbling_mean_equals_batch(spark, folder):
     stream, df = readings(spark, folder)
-    out = rows(live.tumbling_table(stream, f"{folder}/t", CFG, late="100 days"), "household_id", "timestamp")
+    out = rows(live.tumbling_table(stream, f"{folder}/t", CFG), "household_id", "timestamp")
     batch = resample_mean_last(df, CFG).filter("consumption_kwh IS NOT NULL")
     assert_close(out.consumption_kwh, rows(batch, "household_id", "timestamp").consumption_kwh)
     assert out.n_readings.sum() == df.count()
 
 
+def test_tumbling_keeps_readings_however_late(spark, folder):
+    """One file per batch, newest first: every reading counts."""
+    import os
+
+    stream, df = readings(spark, folder)
+    for n, name in enumerate(sorted(os.listdir(f"{folder}/in"), reverse=True)):
+        for file in os.listdir(f"{folder}/in/{name}"):
+            os.utime(f"{folder}/in/{name}/{file}", (1_000_000_000 + n, 1_000_000_000 + n))
+    out = rows(live.tumbling_table(stream, f"{folder}/late", CFG), "household_id", "timestamp")
+    batch = resample_mean_last(df, CFG).filter("consumption_kwh IS NOT NULL")
+    assert out.n_readings.sum() == df.count()
+    assert_close(out.consumption_kwh, rows(batch, "household_id", "timestamp").consumption_kwh)
+
+
 @pytest.mark.parametrize("late", [False, True])
 def test_feature_stream_equals_batch(spark, folder, late):
     stream, df = readings(spark, folder, shuffle_last=late)
