@@ -16,7 +16,7 @@ from pyspark.sql import SparkSession  # noqa: E402
 HEADLINE = (
     "build_features", "clean_meter", "grid_align", "resample_mean_last", "asof_join", "asof_join_merge", "rolling_std",
     "interpolate_time", "validate_meter", "gap_count", "drift_ks", "feature_drift", "chrono_split", "score_requests",
-    "recommendations", "error_metrics", "adwin_events", "stream_tumbling",
+    "recommendations", "error_metrics", "adwin_events", "stream_tumbling", "pipeline_features", "rolling_default",
 )
 
 

@@ -10,11 +10,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from slotwise import config as C
 from slotwise.config import DEFAULT, SeriesConfig
 from slotwise.functions import expressions as X
 from slotwise.functions.timegrid import to_local_time
 from slotwise.operators import attribution as A
-from slotwise.operators import cleaning, drift, features, grid, joins, models, quality, registry, rules, scoring, split
+from slotwise.operators import cleaning, drift, features, grid, joins, lifecycle, models, quality, registry, rules, scoring, split
 from slotwise.operators import distribution as D
 from slotwise.plans import fixtures as fx
 from slotwise.session import shared_dir, written
@@ -653,6 +654,39 @@ def production_row(spark, d):
     return rounded(registry.production_row(registry.promote(fx.runs(spark, d))))
 
 
+def _trained(spark, d) -> lifecycle.ModelStore:
+    """A store with one trained family, the linear one."""
+    store = lifecycle.ModelStore(spark, shared_dir(spark, "models"))
+    linear = {"linear_regression": models.factories()["linear_regression"]}
+    store.train(fx.stored_features(spark, d), FIT_COLUMNS, fx.GRID, linear, val_share=FIT_VAL)
+    return store
+
+
+@query
+def register_and_promote(spark, d):
+    store = _trained(spark, d)
+    store.promote()
+    shown = [F.col("metrics")[m].alias(m) for m in ("mae", "rmse")]
+    return rounded(store.versions().select("model_name", "version", "stage", F.size("feature_columns").alias("n_features"), *shown), 4)
+
+
+@query
+def serve_production(spark, d):
+    store = _trained(spark, d)
+    store.promote()
+    return rounded(store.serve(fx.requests(spark, d), fx.GRID), 3)
+
+
+@query
+def retrain_job(spark, d):
+    store = _trained(spark, d)
+    store.promote()
+    linear = {"linear_regression": models.factories()["linear_regression"]}
+    decision = drift.retrain_decision(_severities(spark, d), F.lit(C.MAX_AGE_DAYS))
+    out = store.retrain(decision, fx.stored_features(spark, d), FIT_COLUMNS, fx.GRID, families=linear, val_share=FIT_VAL)
+    return rounded(out, 4)
+
+
 # --- streams -------------------------------------------------------------------------
 
 

@@ -238,3 +238,36 @@ def test_equal_requests_are_answered_each(spark):
     forecasts = scoring.score_requests(numbered, model, ["lag_1", "heating_degree"])
     inputs = scoring.rule_inputs(numbered, forecasts)
     assert inputs.count() == 3 and inputs.select("request_id").distinct().count() == 3
+
+
+def test_lifecycle(spark, folder):
+    """Runs with status, versions with saved models, promotion, serving and retraining."""
+    from slotwise.operators import lifecycle
+
+    df, _ = panel(spark, n_households=2, n=400, holes=0.1)
+    df = df.withColumn("lag_1", F.coalesce(F.col("consumption_kwh") * 0.5, F.lit(1.0)))
+    cfg = SeriesConfig(lag_steps=(1,), rolling_windows=(4,), block_slots=100)
+
+    def broken(_):
+        raise RuntimeError("no such family")
+
+    families = {"linear_regression": models.factories()["linear_regression"], "broken": broken}
+    store = lifecycle.ModelStore(spark, f"{folder}/models")
+    runs = {r.model_name: r for r in store.train(df, ["lag_1"], cfg, families).collect()}
+    assert runs["linear_regression"].status == "FINISHED" and runs["linear_regression"].metrics["mae"] < 1e-6
+    assert runs["broken"].status == "FAILED" and "no such family" in runs["broken"].error
+    row = store.versions().first()
+    assert (row.version, row.stage, row.feature_columns) == (1, "Staging", ["lag_1"]) and row.data_hash
+    with pytest.raises(Exception, match="Production"):
+        store.production().collect()
+    assert store.promote().first().version == 1
+    due = at("2024-01-05")
+    history = [{"timestamp": at("2024-01-04", 23 * 60 + 30), "consumption_kwh": 3.0}]
+    requests = spark.createDataFrame([("HH0", due, 5.0, history)], "household_id string, forecast_timestamp timestamp_ntz, temperature_c double, recent_readings array<struct<timestamp: timestamp_ntz, consumption_kwh: double>>")
+    served = store.serve(requests, cfg).first()
+    assert served.predicted_consumption_kwh == pytest.approx(6.0, abs=1e-3) and served.version == 1
+    decide = lambda yes: spark.createDataFrame([(yes, "URGENT")], "should_retrain boolean, urgency string")
+    assert store.retrain(decide(False), df, ["lag_1"], cfg, families=families).first().version == 1
+    after = store.retrain(decide(True), df, ["lag_1"], cfg, families=families).first()
+    assert (after.version, after.retrained) == (2, True)
+    assert sorted(r.stage for r in store.versions().collect()) == ["Archived", "Production"] and store.runs().count() == 4
