@@ -8,7 +8,7 @@ feature is sorted in one task and no value list is collected: ``median()`` and
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -171,30 +171,44 @@ def reference_scale(reference: DataFrame) -> DataFrame:
     return reference.groupBy("feature").agg(F.stddev_pop("value").alias("ref_std"))
 
 
-def drift_table(reference: DataFrame, current: DataFrame) -> DataFrame:
+TESTS = ("ks", "chisquare", "z", "wasserstein", "jensenshannon")
+BY_SIZE = "by size"
+
+
+def drift_table(reference: DataFrame, current: DataFrame, tests: str | Mapping[str, str] = "wasserstein") -> DataFrame:
     """One row per usable feature: test, score, decision and severity.
 
-    References up to 1000 rows are tested (KS above five distinct values, chi-square
-    above two, else a proportion z test) against p < 0.05; larger ones are measured
-    (Wasserstein in reference deviations, Jensen-Shannon for few values) against 0.1.
+    ``tests`` names the test of all features or of single ones (others: Wasserstein). ``ks``, ``chisquare`` and ``z`` give
+    p-values, drift below 0.05; ``wasserstein`` (in reference deviations) and ``jensenshannon`` give distances, drift
+    from 0.1 on. The decision on a feature so keeps its meaning however many rows it has. Only on request does
+    ``BY_SIZE`` choose: up to 1000 reference rows KS above five distinct values, chi-square above two, else z; beyond that
+    Wasserstein, Jensen-Shannon for few values.
     """
+    named = {"*": tests} if isinstance(tests, str) else {**tests, "*": "wasserstein"}
+    if unknown := {t for t in named.values() if t not in (*TESTS, BY_SIZE)}:
+        raise ValueError(f"unknown test {sorted(unknown)}, expected one of {TESTS}")
     stats = distances(two_sided(reference, current)).join(F.broadcast(reference_scale(reference)), "feature")
     pooled = (F.col("p_top") * F.col("n_ref") + F.col("q_top") * F.col("n_cur")) / (F.col("n_ref") + F.col("n_cur"))
     error = F.sqrt(pooled * (1 - pooled) * (1 / F.col("n_ref") + 1 / F.col("n_cur")))
     z = F.coalesce(F.abs(F.col("p_top") - F.col("q_top")) / F.nullif(error, F.lit(0.0)), F.lit(0.0))
     chi_p = F.when(F.col("unseen") == 1, F.lit(0.0)).otherwise(_chi2_tail(F.col("chi2"), F.col("n_values") - 1))
     small, few = F.col("n_ref") <= SMALL_REFERENCE, F.col("n_values") <= FEW_VALUES
-    test = (
+    chosen = (
         F.when(small & ~few, "ks").when(small & (F.col("n_values") > 2), "chisquare").when(small, "z")
         .when(few, "jensenshannon").otherwise("wasserstein")
     )
+    one = lambda name: chosen if name == BY_SIZE else F.lit(name)
+    test = one(named.pop("*"))
+    for feature, name in named.items():
+        test = F.when(F.col("feature") == feature, one(name)).otherwise(test)
+    kind = F.col("stattest")
     score = (
-        F.when(small & ~few, F.col("ks_p")).when(small & (F.col("n_values") > 2), chi_p)
-        .when(small, _erfc(z / F.sqrt(F.lit(2.0)))).when(few, F.col("js"))
+        F.when(kind == "ks", F.col("ks_p")).when(kind == "chisquare", chi_p)
+        .when(kind == "z", _erfc(z / F.sqrt(F.lit(2.0)))).when(kind == "jensenshannon", F.col("js"))
         .otherwise(F.col("wasserstein") / F.greatest(F.col("ref_std"), F.lit(SCALE_FLOOR)))
     )
-    rows = stats.withColumns({"stattest": test, "drift_score": score})
-    drifted = F.when(small, F.col("drift_score") < KS_P_VALUE).otherwise(F.col("drift_score") >= DISTANCE_LIMIT)
+    rows = stats.withColumn("stattest", test).withColumn("drift_score", score)
+    drifted = F.when(kind.isin("ks", "chisquare", "z"), F.col("drift_score") < KS_P_VALUE).otherwise(F.col("drift_score") >= DISTANCE_LIMIT)
     return rows.withColumn("drift_detected", drifted).select(
         "feature", "drift_detected", "drift_score", "stattest",
         F.when(F.col("drift_detected"), "CRITICAL").otherwise("OK").alias("severity"),

@@ -481,13 +481,13 @@ def drift_wasserstein(spark, d):
 
 @query
 def feature_drift(spark, d):
-    out = D.drift_table(*fx.drift_sides(spark, d))
+    out = D.drift_table(*fx.drift_sides(spark, d), fx.DRIFT_TESTS)
     return rounded(out)
 
 
 @query
 def dataset_drift(spark, d):
-    return rounded(drift.dataset_drift(D.drift_table(*fx.drift_sides(spark, d))))
+    return rounded(drift.dataset_drift(D.drift_table(*fx.drift_sides(spark, d), fx.DRIFT_TESTS)))
 
 
 @query
@@ -522,7 +522,7 @@ def retrain_decision(spark, d):
 
 @query
 def drift_report(spark, d):
-    table = D.drift_table(*fx.drift_sides(spark, d))
+    table = D.drift_table(*fx.drift_sides(spark, d), fx.DRIFT_TESTS)
     found = written(adwin.batch_events(adwin.detector_input(fx.shifted(spark, d), ["consumption_kwh"])), "adwin")
     n = fx.table(spark, d, "events").agg(F.count(F.lit(1)))
     status = adwin.drift_status(found.filter("kind = 'drift'"), n)

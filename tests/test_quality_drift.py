@@ -98,7 +98,7 @@ def test_test_choice_and_severity(spark):
            "near": rng.normal(0, 1, 1500), "flag": [0, 1] * 250, "few": [1, 2, 3] * 100, "js": [1, 2, 3] * 500}
     cur = {"ks": rng.normal(25, 3, 500), "same": rng.normal(0, 1, 500), "far": rng.normal(3, 1, 500),
            "near": rng.normal(0, 1, 500), "flag": [0] * 400 + [1] * 100, "few": [1, 2, 3] * 90, "js": [1] * 500}
-    out = {r.feature: r for r in D.drift_table(long(spark, **ref), long(spark, **cur)).collect()}
+    out = {r.feature: r for r in D.drift_table(long(spark, **ref), long(spark, **cur), D.BY_SIZE).collect()}
     assert {k: v.stattest for k, v in out.items()} == {
         "ks": "ks", "same": "ks", "far": "wasserstein", "near": "wasserstein", "flag": "z", "few": "chisquare", "js": "jensenshannon"}
     assert {k for k, v in out.items() if v.drift_detected} == {"ks", "far", "flag", "js"}
@@ -107,6 +107,16 @@ def test_test_choice_and_severity(spark):
     assert out["flag"].drift_score == pytest.approx(math.erfc(z / math.sqrt(2)), abs=1e-9)
 
 
+def test_named_tests_do_not_depend_on_size(spark):
+    rng = np.random.default_rng(1)
+    for n in (500, 1500):
+        ref, cur = {"a": rng.normal(0, 1, n), "b": rng.normal(0, 1, n)}, {"a": rng.normal(3, 1, 500), "b": rng.normal(3, 1, 500)}
+        out = D.drift_table(long(spark, **ref), long(spark, **cur), {"a": "ks"}).collect()
+        assert {r.feature: r.stattest for r in out} == {"a": "ks", "b": "wasserstein"} and all(r.drift_detected for r in out)
+    with pytest.raises(ValueError, match="unknown test"):
+        D.drift_table(long(spark, **ref), long(spark, **cur), "guess")
+
+
 def test_missing_and_empty_columns_are_skipped(spark):
     a = spark.createDataFrame([(1.0,), (2.0,)], "a double")
     b = spark.createDataFrame([(1.0,), (2.0,)], "b double")
