@@ -353,8 +353,11 @@ def training_windows(texts: list[str], count: int = WINDOWS, seed: int = 7) -> l
 
 def train(docs: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray]:
     """Fit the field on at most ``sample`` texts: those of the smallest hash among texts with a digit or ``@``, 4,000 characters of each."""
-    rows = docs.where(F.col("text").rlike("[0-9@]")).select(F.substring("text", 1, 4000).alias("text"), F.xxhash64("text").alias("h"))
-    texts = [r.text for r in rows.orderBy("h").limit(sample).collect()]
+    rows = docs.where(F.col("text").rlike("[0-9@]")).select("text", F.xxhash64("text").alias("h"))
+    # Hashes first, so that tasks don't each send a sample of texts.
+    chosen = [r.h for r in rows.select("h").orderBy("h").limit(sample).collect()]
+    found = rows.where(F.col("h").isin(chosen)).select("h", F.substring("text", 1, 4000).alias("text")).dropDuplicates(["h"])
+    texts = [r.text for r in sorted(found.collect(), key=lambda r: r.h)]
     return fit(training_windows(texts))
 
 
