@@ -10,7 +10,6 @@ two needs no padding; these few earlier cuts are looked up besides.
 from __future__ import annotations
 
 import zlib
-from collections import deque
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +28,7 @@ SEGMENT = 1 << 21
 
 def _cuts(ends: np.ndarray, sentences: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Places where a cut may be, from 0, and their penalties."""
-    place = np.unique(np.concatenate([[0], ends, sentences]))
+    place = np.union1d(np.append(0, ends), sentences)
     gap = np.diff(place)
     far = np.flatnonzero(gap > size)
     if len(far):
@@ -46,32 +45,42 @@ def _cuts(ends: np.ndarray, sentences: np.ndarray, size: int) -> tuple[np.ndarra
 def plan(ends: np.ndarray, sentences: np.ndarray, size: int = SIZE) -> np.ndarray:
     """Ends of the sequences for documents that end at ``ends``; ``sentences`` are the other natural cuts."""
     place, penalty = _cuts(ends, sentences, size)
-    # Earlier cuts at the distance of a power of two, by later cut.
-    exact: dict[int, list[int]] = {}
-    step = 1
+    # Earlier cuts at the distance of a power of two, in order of the later cut.
+    later, earlier, step = [], [], 1
     while step < size:
         at = np.searchsorted(place, place - step)
-        hit = np.flatnonzero((at < len(place)) & (place[np.minimum(at, len(place) - 1)] == place - step))
-        for j, i in zip(hit.tolist(), at[hit].tolist(), strict=True):
-            exact.setdefault(j, []).append(i)
+        hit = np.flatnonzero(place[np.minimum(at, len(place) - 1)] == place - step)
+        later.append(hit)
+        earlier.append(at[hit])
         step *= 2
-    places, penalties = place.tolist(), penalty.tolist()
+    later, earlier = np.concatenate(later), np.concatenate(earlier)
+    order = np.argsort(later, kind="stable")
+    earlier = earlier[order].tolist()
+    upto = np.searchsorted(later[order], np.arange(len(place)), side="right").tolist()
+    places, fees = place.tolist(), (penalty + SEQUENCE).tolist()
     cost, back = [0] * len(places), [0] * len(places)
-    queue = deque([(0, 0, 0)])  # cost + place, place, cut: keys ascend
+    # Monotone queue of cuts with ascending cost + place; ``head`` is its first live entry.
+    keys, cuts, head, seen = [0], [0], 0, upto[0]
     for j in range(1, len(places)):
         p = places[j]
-        while queue[0][1] < p - size:
-            queue.popleft()
-        best, origin = queue[0][0] + size - p, queue[0][2]
-        for i in exact.get(j, ()):
-            if cost[i] < best:
-                best, origin = cost[i], i
-        best += penalties[j] + SEQUENCE
+        far = p - size
+        while places[cuts[head]] < far:
+            head += 1
+        origin = cuts[head]
+        best = keys[head] - far
+        if upto[j] > seen:
+            for i in earlier[seen: upto[j]]:
+                if cost[i] < best:
+                    best, origin = cost[i], i
+            seen = upto[j]
+        best += fees[j]
         cost[j], back[j] = best, origin
         key = best + p
-        while queue and queue[-1][0] >= key:
-            queue.pop()
-        queue.append((key, p, j))
+        while len(keys) > head and keys[-1] >= key:
+            keys.pop()
+            cuts.pop()
+        keys.append(key)
+        cuts.append(j)
     out, j = [], len(places) - 1
     while j:
         out.append(places[j])

@@ -2,11 +2,15 @@
 
 The vocabulary's text rules end every piece at white space, so a text's ids are those of its words (runs
 without ASCII white space) one after the other. Each distinct word of a slice is encoded once by the
-tokenizers library; ids of a text are gathered from there.
+tokenizers library and remembered by its process; ids of a text are gathered from there. To have fewer distinct words, words
+of ASCII only are put in lower case, as the vocabulary's own rules do, and a full stop or comma after a letter, which is a
+piece of its own, is set apart.
 """
 
 from __future__ import annotations
 
+import copy
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,7 +21,7 @@ from pyspark.sql import functions as F
 from slotwise.llm.common import Words, ranges, slices, text_key
 
 #: Words a process remembers before it starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 1_000_000
 #: Bytes that end a sentence when they end a word.
 ENDS = np.zeros(256, bool)
 ENDS[[ord(c) for c in ".?!"]] = True
@@ -29,14 +33,35 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_LETTER = np.zeros(256, bool)
+_LETTER[65:91] = _LETTER[97:123] = True
+#: Bytes of words that stay as they are: not ASCII, or part of a special token's name.
+_FIXED = np.arange(256) >= 128
+_FIXED[ord("<")] = True
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """The process's encoder, with what it remembers from earlier tasks."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
+
+
 class Encoder:
     def __init__(self, path: str):
-        import os
-
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        # Ids of the two signs on their own; 0 if a vocabulary has no single id for them and they must stay.
+        self.sign = np.zeros(256, np.int32)
+        for c in ".,":
+            ids = self.tokenizer.encode(c, add_special_tokens=False).ids
+            if len(ids) == 1:
+                self.sign[ord(c)] = ids[0]
         self.forget()
 
     def forget(self) -> None:
@@ -56,29 +81,51 @@ class Encoder:
         self.ids.append(np.fromiter((i for x in coded for i in x), np.int32, int(count.sum())))
         self.total += int(count.sum())
 
+    def _stems(self, words: Words) -> tuple[Words, np.ndarray]:
+        """The words as they are looked up, and the id of the sign set apart from each, 0 for none."""
+        fixed = np.concatenate([[0], np.cumsum(_FIXED[words.data])])
+        plain = fixed[words.start + words.length] == fixed[words.start]
+        last = words.data[words.start + words.length - 1]
+        before = words.data[np.maximum(words.start + words.length - 2, 0)]
+        sign = np.where((words.length > 1) & _LETTER[before], self.sign[last], 0)
+        stems = copy.copy(words)
+        stems.data = np.concatenate([_LOWER[words.data], words.data])
+        stems.start = np.where(plain, words.start, words.start + len(words.data))
+        stems.length = words.length - (sign > 0)
+        return stems, sign
+
     def encode(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words, and how many each word has."""
-        keys, at, index = np.unique(words.hashes(), return_index=True, return_inverse=True)
+        stems, sign = self._stems(words)
+        keys, at, index = np.unique(stems.hashes(), return_index=True, return_inverse=True)
         if len(self.place) + len(keys) > REMEMBERED:
             self.forget()
         rows = np.fromiter((self.place.get(k, -1) for k in keys.tolist()), np.int64, len(keys))
         new = np.flatnonzero(rows < 0)
         if len(new):
             rows[new] = np.arange(len(self.place), len(self.place) + len(new))
-            self._learn(words, keys[new], at[new])
+            self._learn(stems, keys[new], at[new])
             self.first, self.count, self.ids = ([np.concatenate(x)] for x in (self.first, self.count, self.ids))
         first, count = self.first[0][rows][index], self.count[0][rows][index]
-        return self.ids[0][ranges(first, count)], count
+        whole = count + (sign > 0)
+        stops = np.cumsum(whole)
+        out = np.empty(int(stops[-1]) if len(stops) else 0, np.int32)
+        stem = np.ones(len(out), bool)
+        ends = stops[sign > 0] - 1
+        stem[ends] = False
+        out[ends] = sign[sign > 0]
+        out[stem] = self.ids[0][ranges(first, count)]
+        return out, whole
 
 
 def encoded(batches: Iterator[pa.RecordBatch], path: str, end: int):
     """For each slice of (doc_id, text) batches: doc ids, all ids with ``end`` after each document, document lengths, and the
     number of ids up to each sentence end, counted from the slice's first id."""
-    encoder = Encoder(path)
+    coder = encoder(path)
     for batch in batches:
         for part in slices(batch):
             words = Words(part.column("text"))
-            ids, count = encoder.encode(words)
+            ids, count = coder.encode(words)
             upto = np.concatenate([[0], np.cumsum(count)])
             edges = upto[words.offsets]
             lengths = np.diff(edges) + 1
