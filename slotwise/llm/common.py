@@ -184,6 +184,35 @@ def keyed_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator
         yield pa.concat_tables(held)
 
 
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables of whole groups, about a batch each, from batches sorted by ``keys``, and where their groups start."""
+    held = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch])
+        if held is not None:
+            table = pa.concat_tables([held, table])
+        new = np.zeros(table.num_rows, bool)
+        new[0] = True
+        for k in keys:
+            v = table.column(k).to_numpy()
+            new[1:] |= v[1:] != v[:-1]
+        starts = np.flatnonzero(new)
+        if starts[-1]:
+            yield table.slice(0, starts[-1]), starts[:-1]
+        held = table.slice(starts[-1])
+    if held is not None:
+        yield held, np.zeros(1, np.int64)
+
+
+def pairs_in_groups(starts: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """Every two rows of a group, for all groups at once; meant for groups of bounded size."""
+    size = np.diff(np.append(starts, rows))
+    left = np.repeat(starts + size, size) - np.arange(rows) - 1
+    return np.repeat(np.arange(rows), left), ranges(np.arange(rows) + 1, left)
+
+
 def by_group(df: DataFrame, keys: list[str], fn: Callable[[pa.Table], pa.RecordBatch | None], schema: str) -> DataFrame:
     """``fn`` for each group of rows with equal, non-null keys, many small groups to a task.
 
@@ -219,15 +248,17 @@ def in_blocks(df: DataFrame, group: str, ident: str, size: str, block_rows: int)
 def components(edges: DataFrame, label: str) -> DataFrame:
     """Connected groups of ``edges`` (a long, b long): ``node``, ``root`` (smallest node of its group).
 
-    Large-star and small-star rounds; every round is one written table, so nothing is kept on
-    executors and nothing is collected but two sums. Stops when a round changes nothing.
+    Large-star and small-star rounds; every round is written, so nothing is kept on executors, and nothing is collected but
+    whether a round is the last: each node has one edge then, and no node with an edge is the end of another's.
     """
     state = written(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), label)
-    before = None
     while True:
+        several = state.groupBy("a").count().where("count > 1").select("a")
+        inner = state.select("a").join(state.select(F.col("b").alias("a")).distinct(), "a", "left_semi")
+        if several.union(inner).isEmpty():
+            break
         both = state.union(state.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
-        low = written(low, label)
         large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = written(large.where("a <> b").distinct(), label)
         least = large.groupBy("a").agg(F.min("b").alias("m"))
@@ -235,10 +266,6 @@ def components(edges: DataFrame, label: str) -> DataFrame:
             F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")
         ).select("e.*").where("a <> b").distinct()
         state = written(small_star, label)
-        now = state.agg(F.count("*"), F.sum(F.hash("a", "b").cast("long"))).first()
-        if now == before:
-            break
-        before = now
     return state.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
         state.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     )
