@@ -144,3 +144,20 @@ def test_nothing_to_learn_from(spark):
     docs = spark.createDataFrame([(1, "some text", None)], "doc_id long, text string, lang string")
     assert tuples(L.predict_languages(docs), "*") == [(1, False, "und", 0.0, True)]
     assert L.predict_languages(docs.limit(0)).count() == 0
+
+
+def test_whole_groups_and_their_pairs():
+    """Groups stay whole whatever the batches, and every two rows of a group meet once."""
+    from slotwise.llm.common import pairs_in_groups, whole_groups
+
+    keys = [1, 1, 1, 2, 3, 3, 4, 5, 5, 5, 5]
+    whole = pa.RecordBatch.from_pydict({"k": keys, "u": [0] * len(keys), "v": list(range(len(keys)))})
+    for size in (1, 2, 3, 11):
+        met = set()
+        for table, starts in whole_groups((whole.slice(i, size) for i in range(0, len(keys), size)), ["k", "u"]):
+            v = table.column("v").to_numpy()
+            a, b = pairs_in_groups(starts, table.num_rows)
+            assert len(a) == len({*zip(a.tolist(), b.tolist(), strict=True)})
+            met |= {*zip(v[a].tolist(), v[b].tolist(), strict=True)}
+        assert met == {(i, j) for j in range(len(keys)) for i in range(j) if keys[i] == keys[j]}
+    assert list(whole_groups(iter([]), ["k"])) == []
