@@ -9,8 +9,8 @@ it branches, so most suffixes never leave their document:
    its anchor; equal windows have equal anchors. Runs of windows with one anchor are one row.
 2. *Context prefix.* Below an anchor, the words that a run covers. An anchor with one context does not branch:
    all its rows are one leaf path, and only its smallest document is needed.
-3. *Full prefix.* Only where an anchor has several contexts, one row per context is cut into single
-   suffixes of ``window`` words, and these are grouped.
+3. *Full prefix.* Only where an anchor has several contexts, the runs of each context in its smallest document (all
+   places, all rows of that doc_id) are cut into single suffixes of ``window`` words, and these are grouped.
 
 Groups are kept as (path hash of 128 bits, smallest doc_id), an aggregate that Spark combines before it
 shuffles, so a passage held by a third of all documents is a row per task and no group is collected.
@@ -120,16 +120,13 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
     runs = written(anchored_runs(docs, window, gram), "runs")
     contexts = runs.groupBy("anchor", "c1", "c2").agg(
         F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"),
-        F.min_by("tk", "doc_id").alias("tk"), F.min_by("lo", "doc_id").alias("lo"), F.min_by("hi", "doc_id").alias("hi"),
     )
     contexts = written(contexts, "contexts")
     branching = contexts.groupBy("anchor").agg(F.min("first_doc").alias("low"), F.max("last_doc").alias("high"), F.count("*").alias("n"))
     branching = written(branching.where("n > 1 and low < high").select("anchor"), "branching")
-    # One holder of each context below a branching anchor stands for all of them.
-    holders = (
-        contexts.join(branching, "anchor", "left_semi")
-        .groupBy(F.col("first_doc").alias("doc_id"), "tk").agg(F.collect_set(F.struct("lo", "hi")).alias("parts"))
-    )
+    # The smallest document of each context below a branching anchor stands for all others, with every place and row that holds it.
+    firsts = contexts.join(branching, "anchor", "left_semi").select("anchor", "c1", "c2", F.col("first_doc").alias("doc_id"))
+    holders = runs.join(firsts, ["anchor", "c1", "c2", "doc_id"]).groupBy("doc_id", "tk").agg(F.collect_set(F.struct("lo", "hi")).alias("parts"))
     holders = written(holders, "holders")
     cut = written(single_windows(docs.join(holders, ["doc_id", "tk"]), window), "windows")
     least = cut.groupBy("w1", "w2").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")

@@ -42,5 +42,17 @@ def test_overlapping_contexts_and_repetition(spark):
     assert got == [r[:4] for r in brute(rows, 50)]
 
 
+@pytest.mark.parametrize("length", [55, 80, 120])
+def test_smallest_document_holds_a_context_at_several_places(spark, length):
+    """A passage that a smaller document holds goes at every place and row of a document that repeats it with its surroundings."""
+    passage = " ".join(f"p{i}" for i in range(length))
+    before, after = " ".join(f"u{i}" for i in range(60)), " ".join(f"v{i}" for i in range(60))
+    around = f"{before} {passage} {after}"
+    rows = [(1, f"one {passage} two"), (2, f"{around} {around}"), (2, f"another row {around} of that document"), (3, around)]
+    got = tuples(remove_repeats(frame(spark, rows)), "doc_id", "n_words", "n_removed", "kept_sha256", "kept_text")
+    assert got == brute(rows, 50)
+    assert {r[2] for r in got if r[0] == 2} == {length, 2 * length}
+
+
 def test_empty_table(spark):
     assert remove_repeats(frame(spark, [])).count() == 0
