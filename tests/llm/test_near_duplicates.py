@@ -170,3 +170,21 @@ def test_edit_distance():
                 new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
             row = new
         assert L.edit_distance(a, b) == row[-1]
+
+
+def test_lines_found_by_edit_similarity_alone(spark):
+    """Recall against links that know nothing but the edit similarity, for lines of 8 to 60 words, one replaced or misspelt."""
+    import random
+
+    r = random.Random(5)
+    word = lambda: "".join(r.choice("abcdefghijklmnop") for _ in range(r.randrange(3, 9)))
+    rows = []
+    for i in range(200):
+        words = [word() for _ in range((8, 12, 20, 30, 60)[i % 5])]
+        other = list(words)
+        other[r.randrange(len(words))] = word() if i % 2 else words[3][:-1] + "z"
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(other))]
+    alike = [i for i in range(0, 400, 2) if L.similar(rows[i][1], rows[i + 1][1], L.SIMILARITY)]
+    gone = {r.doc_id for r in L.line_dedup(frame(spark, rows)).where("n_removed = 1").collect()}
+    assert len(alike) > 190 and gone <= {i + 1 for i in alike}
+    assert sum(i + 1 in gone for i in alike) >= 0.97 * len(alike)
