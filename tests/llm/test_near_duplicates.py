@@ -188,3 +188,12 @@ def test_lines_found_by_edit_similarity_alone(spark):
     gone = {r.doc_id for r in L.line_dedup(frame(spark, rows)).where("n_removed = 1").collect()}
     assert len(alike) > 190 and gone <= {i + 1 for i in alike}
     assert sum(i + 1 in gone for i in alike) >= 0.97 * len(alike)
+
+
+def test_short_lines_and_lines_without_blanks_go(spark):
+    """Copies of lines of one to three words, and of sentences whose script puts no blanks between words."""
+    lines = ["Home", "contact us", "all rights reserved", "今天天气很好我们去公园散步吧", "สวัสดีครับ", "ok"]
+    rows = [(i, "\n".join([*lines, "", f"line of document {'abcd'[i]} {'xyzuvw'[i] * 9}"])) for i in range(4)]
+    got = {r.doc_id: r for r in L.line_dedup(frame(spark, rows)).collect()}
+    assert [got[i].n_removed for i in range(4)] == [0, 6, 6, 6]
+    assert got[3].kept_text == "\nline of document d uuuuuuuuu"
