@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from slotwise.llm.common import slices
 
-#: Bounds of the sample: pieces for each language, bytes of a piece, languages (the most frequent ones).
+#: Bounds of the sample: pieces for each language, bytes of a piece, languages that get all their pieces.
 PIECES, PIECE_BYTES, LANGUAGES = 224, 512, 64
 CHUNK = 4096
 LEVEL = 5
@@ -38,21 +38,23 @@ def held_out(ident: Column) -> Column:
 def fit(labelled: DataFrame, pieces: int = PIECES, piece_bytes: int = PIECE_BYTES, languages: int = LANGUAGES) -> dict[str, bytes]:
     """Dictionary content by language from (text, lang).
 
-    ``pieces`` hash classes of a language give one text each, that of the smallest hash: a sample of at most
-    ``languages * pieces`` rows, found with an aggregation over all rows and fetched with a second pass.
+    ``pieces`` hash classes of a language give one text each, that of the smallest hash: a sample found with an aggregation
+    over all rows and fetched with a second pass. Every language is learned; if there are more than ``languages``, each
+    has fewer pieces, so that the sample stays at ``languages * pieces`` rows or one a language.
     """
     rows = labelled.where("text is not null and lang is not null").select("lang", "text", F.xxhash64("text").alias("h"))
-    known = [r.lang for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()]
+    known = [r.lang for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()]
     if not known:
         return {}
-    least = rows.where(F.col("lang").isin(known)).groupBy("lang", F.pmod("h", F.lit(pieces)).alias("class")).agg(F.min("h").alias("h"))
+    pieces = max(1, pieces * languages // max(languages, len(known)))
+    least = rows.groupBy("lang", F.pmod("h", F.lit(pieces)).alias("class")).agg(F.min("h").alias("h"))
     wanted = labelled.sparkSession.createDataFrame(least.select("lang", "h").collect(), "lang string, h long")
     piece = F.substring(F.lower("text"), 1, 4 * piece_bytes)
     found = rows.join(F.broadcast(wanted), ["lang", "h"]).select("lang", "h", piece.alias("piece")).dropDuplicates(["lang", "h"]).collect()
-    out = {}
-    for lang in known:
-        own = [normal(r.piece)[:piece_bytes] for r in sorted(found, key=lambda r: r.h) if r.lang == lang]
-        out[lang] = b" ".join(p for p in own if p)
+    own = {lang: [] for lang in known}
+    for r in sorted(found, key=lambda r: r.h):
+        own[r.lang].append(normal(r.piece)[:piece_bytes])
+    out = {lang: b" ".join(p for p in parts if p) for lang, parts in own.items()}
     return {lang: content for lang, content in out.items() if content}
 
 

@@ -161,3 +161,19 @@ def test_whole_groups_and_their_pairs():
             met |= {*zip(v[a].tolist(), v[b].tolist(), strict=True)}
         assert met == {(i, j) for j in range(len(keys)) for i in range(j) if keys[i] == keys[j]}
     assert list(whole_groups(iter([]), ["k"])) == []
+
+
+def test_more_languages_than_full_samples(spark):
+    """Every language is learned, also the rarer ones beyond the bound, with smaller samples."""
+    import random
+
+    r = random.Random(4)
+    rows = []
+    for k in range(70):
+        own = ["".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7)) for _ in range(12)]
+        rows += [(100 * k + i, " ".join(r.choice(own) for _ in range(40)), f"l{k:02}") for i in range(12 if k < 64 else 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    found = {x.doc_id: x.lang_pred for x in L.predict_languages(docs).collect()}
+    assert len(found) == len(rows) and all(found[i] == lang for i, _, lang in rows)
+    few = L.fit(docs.select("text", "lang"), pieces=6, languages=35)
+    assert len(few) == 70 and all(0 < len(x) < 3 * 400 for x in few.values())
