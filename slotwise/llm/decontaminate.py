@@ -5,7 +5,7 @@ an item's score with a passage lies in 0..1 and one threshold serves all items.
 for many passages at a time: first the sum of the passage's term maxima, then the sums of the maxima within
 each block of items; only blocks whose bound reaches the threshold are scored item by item. Bounds never lie below
 scores, so nothing above the threshold is lost. What is retrieved is verified: enough of the question's and of the answer's
-word n-grams must stand in the passage.
+word n-grams must stand in the passage, or enough of those of the whole item, as a changed word can take all n-grams of a short answer.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from slotwise.llm.common import SPACE, Rolling, Words, ranges, slices
 K1, B = 1.2, 0.75
 SCORE = 0.6
 OVERLAP = 0.7
+WHOLE = 0.7
 GRAM = 3
 BLOCK_ITEMS = 8
 SHARD_WORDS = 500_000
@@ -143,7 +144,7 @@ def build_indexes(items: DataFrame, ident: str = "item_id") -> list[ItemIndex]:
     return [ItemIndex(np.array([i for i, _, _ in p]), [w for _, w, _ in p], [a for _, _, a in p], df, count, mean) for p in parts]
 
 
-def _search(part: pa.RecordBatch, index: ItemIndex, least: float, overlap: float):
+def _search(part: pa.RecordBatch, index: ItemIndex, least: float, overlap: float, whole: float):
     words = Words(part.column("text"), BETWEEN)
     hashes = words.hashes()
     first, counts = words.offsets[:-1], np.diff(words.offsets)
@@ -162,14 +163,16 @@ def _search(part: pa.RecordBatch, index: ItemIndex, least: float, overlap: float
         window = hashes[lo: min(lo + 2 * index.stride, words.offsets[t + 1])]
         cut = len(index.words[i]) - index.answers[i]
         question, answer = _share(index.words[i][:cut], window), _share(index.words[i][cut:], window)
-        if question >= overlap and answer >= overlap:
+        if (question >= overlap and answer >= overlap) or _share(index.words[i], window) >= whole:
             out.append((t, int(index.ids[i]), s, question, answer))
     return out
 
 
-def contaminated(docs: DataFrame, items: DataFrame, least: float = SCORE, overlap: float = OVERLAP, ident: str = "item_id") -> DataFrame:
+def contaminated(docs: DataFrame, items: DataFrame, least: float = SCORE, overlap: float = OVERLAP, ident: str = "item_id", whole: float = WHOLE) -> DataFrame:
     """(doc_id, item_id, score, question_overlap, answer_overlap): items that a passage of a document holds.
 
+    It holds an item if ``overlap`` of the n-grams of the question and of the answer stand in it, or ``whole`` of all the item's.
+
     Words are lower-case runs without ASCII white space and punctuation. A passage has twice as many words as the longest
     item, in steps of half its size, so an item that is there lies whole in one. Of several passages the best
     figures stay. Null and empty texts hold nothing; a document or item without id is left out; rows that repeat a doc_id
@@ -183,7 +186,7 @@ def contaminated(docs: DataFrame, items: DataFrame, least: float = SCORE, overla
         def run(batches, index=index):
             for batch in batches:
                 for part in slices(batch):
-                    if out := _search(part, index, least, overlap):
+                    if out := _search(part, index, least, overlap, whole):
                         t, i, s, q, a = zip(*out, strict=True)
                         yield pa.RecordBatch.from_arrays(
                             [part.column("doc_id").take(pa.array(t)), pa.array(i, pa.int64()), *[pa.array(x, pa.float64()) for x in (s, q, a)]],

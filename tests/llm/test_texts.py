@@ -177,3 +177,13 @@ def test_more_languages_than_full_samples(spark):
     assert len(found) == len(rows) and all(found[i] == lang for i, _, lang in rows)
     few = L.fit(docs.select("text", "lang"), pieces=6, languages=35)
     assert len(few) == 70 and all(0 < len(x) < 3 * 400 for x in few.values())
+
+
+@pytest.mark.parametrize("ending", ["It is Brenno.", "It was Brenna.", "Is Brenna.", ""])
+def test_short_answer_changed_or_missing(spark, ending):
+    """An item stands in a text though a word of its short answer is another one, or the answer is left out."""
+    question = "Which slow river with three stone bridges runs through the old market town of Kell in summer?"
+    items = [(1, f"{question} It is Brenna."), *[x for x in ITEMS if x[0] in (2, 3)]]
+    rows = [(1, f"before this {question} {ending} and after that"), (2, "Which slow river has three bridges? It is Brenna.")]
+    got = D.contaminated(frame(spark, rows), spark.createDataFrame(items, "item_id long, text string"))
+    assert tuples(got, "doc_id", "item_id") == [(1, 1)]
