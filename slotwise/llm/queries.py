@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slotwise.llm import jaccard_join, secrets, topk_search
+from slotwise.llm.alignment import align
 from slotwise.llm.common import table
 from slotwise.llm.decontaminate import contaminated
 from slotwise.llm.language_id import predict_languages
@@ -84,3 +85,8 @@ def op9_decontaminate(spark, d):
 @query
 def op10_substring_dedup(spark, d):
     return remove_repeats(table(spark, d, "documents"), with_text=False)
+
+
+@query
+def op12_tokenizer_alignment(spark, d):
+    return align(table(spark, d, "documents"))
