@@ -13,6 +13,7 @@ from slotwise.llm.common import table
 from slotwise.llm.decontaminate import contaminated
 from slotwise.llm.language_id import predict_languages
 from slotwise.llm.line_dedup import line_dedup
+from slotwise.llm.neighbours import nearest
 from slotwise.llm.packing import pack
 from slotwise.llm.personal_data import find_personal_data
 from slotwise.llm.repair import repair_round_trip
@@ -90,3 +91,8 @@ def op10_substring_dedup(spark, d):
 @query
 def op12_tokenizer_alignment(spark, d):
     return align(table(spark, d, "documents"))
+
+
+@query
+def op13_nearest_neighbours(spark, d):
+    return nearest(table(spark, d, "embeddings"), F.col("vec_id") % 50 == 0)
