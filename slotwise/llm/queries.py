@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotwise.llm import jaccard_join, secrets, topk_search
+from slotwise.llm import jaccard_join, prefix_trie, secrets, topk_search
 from slotwise.llm.alignment import align
 from slotwise.llm.common import table
 from slotwise.llm.decontaminate import contaminated
@@ -88,6 +88,14 @@ def op10_substring_dedup(spark, d):
     return remove_repeats(table(spark, d, "documents"), with_text=False)
 
 
+@query
+def op11_prefix_trie(spark, d):
+    return prefix_trie.prefix_trie(table(spark, d, "conversations"))
+
+
+ORACLES["op11_prefix_trie"] = prefix_trie.ORACLE
+
+
 @query
 def op12_tokenizer_alignment(spark, d):
     return align(table(spark, d, "documents"))
