@@ -4,7 +4,7 @@ A byte range of a text is a ``Fragment``: the open tokens before its first commo
 add up to, and the open tokens after its last one. Joining two neighbours closes the group that spans them; the join is associative,
 so fragments of a very long text are joined in a tree across tasks, ``FAN`` at a time.
 
-Tokens never span certain white space (``Aligner.cuts``), so texts are encoded in segments that end there. Each distinct
+Tokens never span certain white space (``Segments``), so texts are encoded in segments that end there. Each distinct
 segment of a process is encoded and aligned once; a document adds up its segments. A text of more than ``PIECE_BYTES`` is cut into
 pieces that are dealt to all tasks, its exact copies only once.
 
@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -31,9 +32,11 @@ from slotwise.session import written
 PIECE_BYTES = 1 << 16
 FAN = 8
 MOST_PAIRS = 2_000_000
-#: Segments, and bytes of them, that a process remembers before it starts anew.
+#: Segments, and bytes of them, that a process remembers; beyond them it keeps the quarter that it met most often.
 REMEMBERED, REMEMBERED_BYTES = 400_000, 32 << 20
 SLICE_BYTES = 2 << 20
+#: New segments that are encoded as one text, as tokens end where segments do.
+TOGETHER = 1000
 
 _WHITE = np.zeros(256, bool)
 _WHITE[[9, 10, 11, 12, 13, 28, 29, 30, 31, 32]] = True
@@ -84,7 +87,11 @@ class Encoders:
         byte = _byte_of()
         self.bytes_a = {i: bytes(byte[c] for c in p) if all(c in byte for c in p) else p.encode() for p, i in self.a.get_vocab(False).items()}
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
-        self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
+        self.bytes_b = {i: bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)}
+        most = max(*self.bytes_a, *self.bytes_b) + 1
+        self.size_a, self.size_b = (np.array([len(of.get(i, b"")) for i in range(most)], np.int64) for of in (self.bytes_a, self.bytes_b))
+        #: Decimal ids with what follows them in a group's text: 4 * id + place in the list of separators.
+        self.shown = [b"%d%c" % (i, c) for i in range(most) for c in b",|;\n"]
         # A blank or line break between two other characters ends a token of either vocabulary if no piece goes on over it.
         plain = self.a.normalizer is None and "ByteLevel" in str(self.a.pre_tokenizer)
         blank = plain and not any("▁" in p.lstrip("▁") for p in pieces) and self._as_it_is()
@@ -198,6 +205,10 @@ class Segments(Words):
         self.start = np.flatnonzero(first[:size])
         self.length = np.diff(np.append(self.start, size))
         self.offsets = np.searchsorted(self.start, self.edges)
+        #: Whether a segment may stand between others: a cut at its start, and no white space at its end.
+        self.plain = np.zeros(len(self.start), bool)
+        if size > 2:
+            self.plain = (self.length > 1) & cut_at[data[self.start]] & ~white[np.minimum(self.start + 1, size - 1)] & ~white[self.start + self.length - 1]
 
 
 def next_cut(data: np.ndarray, at: int, cut_at: np.ndarray) -> int:
@@ -219,86 +230,113 @@ def next_cut(data: np.ndarray, at: int, cut_at: np.ndarray) -> int:
 class Aligner:
     """A process's remembered segments: tokens, groups, links and, once counts are known, their sums."""
 
-    def __init__(self, paths: tuple[str, str], counts: Counts | None = None):
-        self.coder, self.counts = encoders(paths), counts
-        self.forget()
-
-    def forget(self) -> None:
+    def __init__(self, paths: tuple[str, str]):
+        self.coder, self.counts = encoders(paths), None
         self.place: dict[int, int] = {}
         self.text: list[bytes] = []
-        self.bytes = 0
         #: ok, n_a, n_b, n_groups, n_links, n_best, count_sum of each segment.
         self.figures = np.zeros((0, 7), np.int64)
         self.pairs, self.first = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.used = np.zeros(0, np.int64)
+        self.keys, self.sizes = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.used, self.met = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def begin(self, counts: Counts | None) -> None:
+        """A new task: nothing is used yet, and counts may be others than the last task's."""
+        self.used[:] = 0
+        if counts is not None and (self.counts is None or counts.name != self.counts.name):
+            self.counts = counts
+            self._weigh(0)
+        elif counts is None:
+            self.counts = None
+
+    def _weigh(self, start: int) -> None:
+        """n_best and count_sum of the segments from ``start`` on."""
+        if self.counts is None or start == len(self.first):
+            return
+        at = self.first[start]
+        total, best = self.counts.of(self.pairs[at:])
+        edges = np.append(self.first[start:], len(self.pairs)) - at
+        for column, values in ((5, best), (6, total)):
+            upto = np.concatenate([[0], np.cumsum(values)])
+            self.figures[start:, column] = upto[edges[1:]] - upto[edges[:-1]]
 
     def rows(self, segments: Segments) -> np.ndarray:
         """Where each segment is remembered."""
-        keys, at, index = np.unique(segments.hashes(), return_index=True, return_inverse=True)
+        keys, at, index, count = np.unique(segments.hashes(), return_index=True, return_inverse=True, return_counts=True)
         rows = np.fromiter((self.place.get(k, -1) for k in keys.tolist()), np.int64, len(keys))
         new = np.flatnonzero(rows < 0)
         if len(new):
+            plain = segments.plain[at[new]]
+            new = np.concatenate([new[plain], new[~plain]])
             rows[new] = np.arange(len(self.text), len(self.text) + len(new))
             self.place.update(zip(keys[new].tolist(), rows[new].tolist(), strict=True))
             raw = segments.data.tobytes()
-            self._learn([raw[s: s + n] for s, n in zip(segments.start[at[new]].tolist(), segments.length[at[new]].tolist(), strict=True)])
+            self._learn([raw[s: s + n] for s, n in zip(segments.start[at[new]].tolist(), segments.length[at[new]].tolist(), strict=True)], int(plain.sum()))
+            self.keys = np.concatenate([self.keys, keys[new]])
+        self.met[rows] += count
         return rows[index]
 
     def full(self) -> bool:
-        return len(self.text) > REMEMBERED or self.bytes > REMEMBERED_BYTES
+        return len(self.text) > REMEMBERED or int(self.sizes.sum()) > REMEMBERED_BYTES
 
-    def _learn(self, segments: list[bytes]) -> None:
-        """Encode and align new segments, all at once."""
-        ids_a, ids_b = self.coder.encode(segments)
+    def forget(self) -> None:
+        """Keep the segments met most often, as far as a quarter of the room goes; their counts of meetings are halved."""
+        order = np.argsort(-self.met, kind="stable")[: REMEMBERED // 4]
+        order = np.sort(order[np.cumsum(self.sizes[order]) <= REMEMBERED_BYTES // 4])
+        size = self.figures[order, 4]
+        self.pairs = self.pairs[ranges(self.first[order], size)]
+        self.first = np.cumsum(size) - size
+        self.text = [self.text[i] for i in order.tolist()]
+        self.figures, self.keys, self.sizes, self.used = self.figures[order], self.keys[order], self.sizes[order], self.used[order]
+        self.met = self.met[order] // 2
+        self.place = dict(zip(self.keys.tolist(), range(len(order)), strict=True))
+
+    def _encoded(self, segments: list[bytes], plain: int) -> list[tuple[int, list[int], list[int]]]:
+        """(segments, ids of A, ids of B) of runs of segments, no ids where they don't give the bytes back. The first ``plain`` segments are encoded together."""
         of_a, of_b = self.coder.bytes_a, self.coder.bytes_b
-        n = len(segments)
-        figures = np.zeros((n, 7), np.int64)
-        texts = [b""] * n
-        pairs: list[int] = []
-        count = np.zeros(n, np.int64)
-        for i, (seg, a, b) in enumerate(zip(segments, ids_a, ids_b, strict=True)):
-            x, y = [of_a[t] for t in a], [of_b[t] for t in b]
-            if b"".join(x) != seg or b"".join(y) != seg:
-                continue
-            text, links, groups = [str(a[0])], 0, 1
-            other = [str(b[0])]
-            p, q, k, m = len(x[0]), len(y[0]), 0, 0
-            while True:
-                pairs.append(a[k] << 32 | b[m])
-                links += 1
-                if p == q:
-                    k, m = k + 1, m + 1
-                    if k == len(a):
-                        break
-                    groups += 1
-                    text[-1] += "|" + ",".join(other)
-                    text.append(str(a[k]))
-                    other = [str(b[m])]
-                    p, q = p + len(x[k]), q + len(y[m])
-                elif p < q:
-                    k += 1
-                    text[-1] += f",{a[k]}"
-                    p += len(x[k])
-                else:
-                    m += 1
-                    other.append(str(b[m]))
-                    q += len(y[m])
-            text[-1] += "|" + ",".join(other)
-            texts[i] = ";".join(text).encode()
-            figures[i, :5] = 1, len(a), len(b), groups, links
-            count[i] = links
-        flat = np.array(pairs, np.int64)
-        if self.counts is not None and len(flat):
-            owner = np.repeat(np.arange(n), count)
-            total, best = self.counts.of(flat)
-            np.add.at(figures[:, 5], owner, best)
-            np.add.at(figures[:, 6], owner, total)
+        runs = [(i, min(i + TOGETHER, plain)) for i in range(0, plain, TOGETHER)] + [(i, i + 1) for i in range(plain, len(segments))]
+        texts = [b"".join(segments[i:j]) for i, j in runs]
+        out = []
+        for (i, j), text, a, b in zip(runs, texts, *self.coder.encode(texts), strict=True):
+            if b"".join([of_a[t] for t in a]) == text == b"".join([of_b[t] for t in b]):
+                out.append((j - i, a, b))
+            elif j - i > 1:
+                out += self._encoded(segments[i:j], 0)
+            else:
+                out.append((1, [], []))
+        return out
+
+    def _learn(self, segments: list[bytes], plain: int) -> None:
+        """Encode and align new segments, all at once."""
+        runs = self._encoded(segments, plain)
+        good = np.repeat([bool(a) for _, a, _ in runs], [n for n, _, _ in runs])
+        a, b = (np.fromiter((i for run in runs for i in run[k]), np.int64) for k in (1, 2))
+        ends_a, ends_b = np.cumsum(self.coder.size_a[a]), np.cumsum(self.coder.size_b[b])
+        sizes = np.array([len(s) for s in segments], np.int64)
+        stop = np.cumsum(sizes[good])
+        either, common = np.union1d(ends_a, ends_b), np.intersect1d(ends_a, ends_b, assume_unique=True)
+        if plain and not np.isin(stop, common).all():
+            return self._learn(segments, 0)
+        figures = np.zeros((len(segments), 7), np.int64)
+        figures[good, 0] = 1
+        for column, ends in ((1, ends_a), (2, ends_b), (3, common), (4, either)):
+            figures[good, column] = np.diff(np.searchsorted(ends, stop, side="right"), prepend=0)
+        # A group's A ids, then its B ids, stand one after the other in the text.
+        group_a, group_b = np.searchsorted(common, ends_a), np.searchsorted(common, ends_b)
+        shown = np.empty(len(a) + len(b), np.int64)
+        shown[np.arange(len(a)) + np.searchsorted(group_b, group_a)] = 4 * a + (common[group_a] == ends_a)
+        last = np.where(common[group_b] == ends_b, 2 + np.isin(ends_b, stop), 0)
+        shown[np.arange(len(b)) + np.searchsorted(group_a, group_b, side="right")] = 4 * b + last
+        table = self.coder.shown
+        texts = iter(b"".join([table[i] for i in shown.tolist()]).split(b"\n"))
+        self.text += [next(texts) if g else b"" for g in good.tolist()]
+        start, count = len(self.first), figures[:, 4]
         self.first = np.concatenate([self.first, len(self.pairs) + np.cumsum(count) - count])
-        self.pairs = np.concatenate([self.pairs, flat])
+        self.pairs = np.concatenate([self.pairs, a[np.searchsorted(ends_a, either)] << 32 | b[np.searchsorted(ends_b, either)]])
         self.figures = np.concatenate([self.figures, figures])
-        self.used = np.concatenate([self.used, np.zeros(n, np.int64)])
-        self.text += texts
-        self.bytes += sum(map(len, segments))
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.used, self.met = (np.concatenate([x, np.zeros(len(segments), np.int64)]) for x in (self.used, self.met))
+        self._weigh(start)
 
     def sums(self, rows: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Figures of each content; zeros where a segment does not give its bytes back, or there is none."""
@@ -324,16 +362,32 @@ class Aligner:
         return pairs, total
 
 
+_ALIGNERS: dict[tuple[str, str], Aligner] = {}
+
+
+def aligner_of(paths: tuple[str, str], counts: Counts | None = None) -> Aligner:
+    """The process's aligner, with what it remembers from earlier tasks."""
+    if paths not in _ALIGNERS:
+        _ALIGNERS[paths] = Aligner(paths)
+    _ALIGNERS[paths].begin(counts)
+    return _ALIGNERS[paths]
+
+
 class Counts:
     """Corpus-wide counts of id pairs, and whether each is the highest of its B id."""
 
     def __init__(self, pairs: np.ndarray, counts: np.ndarray, best: np.ndarray):
+        self.name = uuid.uuid4().hex
         order = np.argsort(pairs)
         self.pairs, self.counts, self.best = pairs[order], counts[order], best[order]
 
     def of(self, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = np.searchsorted(self.pairs, pairs)
-        return self.counts[at], self.best[at].astype(np.int64)
+        """Counts and marks of pairs; 0 for those of other corpora, which a process may still remember."""
+        if not len(self.pairs):
+            return np.zeros((2, len(pairs)), np.int64)
+        at = np.minimum(np.searchsorted(self.pairs, pairs), len(self.pairs) - 1)
+        known = self.pairs[at] == pairs
+        return np.where(known, self.counts[at], 0), known & self.best[at]
 
 
 def _contents(column: pa.Array) -> pa.Array:
@@ -365,7 +419,7 @@ def _pairs_of_texts(texts: DataFrame, paths: tuple[str, str]) -> DataFrame:
     """Links of whole texts, added up per task."""
 
     def run(batches):
-        aligner = Aligner(paths)
+        aligner = aligner_of(paths)
         flush = lambda: iter([_pair_batch(*aligner.take())])
         for item in _each(batches, "text", aligner, flush):
             if isinstance(item, pa.RecordBatch):
@@ -388,7 +442,7 @@ def _documents(texts: DataFrame, paths: tuple[str, str], counts=None) -> DataFra
     schema = RESULT if counts is not None else RESULT + ", links binary"
 
     def run(batches):
-        aligner = Aligner(paths, counts.value if counts is not None else None)
+        aligner = aligner_of(paths, counts.value if counts is not None else None)
         for part, rows, offsets in _each(batches, "text", aligner):
             figures = aligner.sums(rows, offsets)
             sha, links, which, text = [], [], rows.tolist(), aligner.text
@@ -470,7 +524,7 @@ def _leaves(pieces: DataFrame, paths: tuple[str, str]) -> DataFrame:
     """The fragment of each piece: its first group stays open, all others are closed."""
 
     def run(batches):
-        aligner, schema = Aligner(paths), _arrow_schema()
+        aligner, schema = aligner_of(paths), _arrow_schema()
         texts = (b.set_column(4, "content", b.column("content").cast(pa.string(), safe=False)) for b in batches)
         for part, rows, offsets in _each(texts, "content", aligner):
             figures = aligner.sums(rows, offsets)

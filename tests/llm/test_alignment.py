@@ -5,6 +5,7 @@ import itertools
 import random
 from functools import reduce
 
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -21,10 +22,10 @@ ODD = [
 
 
 def brute(rows):
-    pa, pb = A.default_paths()
-    ta = Tokenizer.from_file(pa)
+    path_a, path_b = A.default_paths()
+    ta = Tokenizer.from_file(path_a)
     ta.encode_special_tokens = True
-    sp = sentencepiece.SentencePieceProcessor(model_file=pb)
+    sp = sentencepiece.SentencePieceProcessor(model_file=path_b)
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     table = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in plain)}
     raw_a = lambda i: bytes(table[c] for c in ta.id_to_token(i))
@@ -89,13 +90,14 @@ def test_forgetting_changes_nothing(spark, monkeypatch):
     monkeypatch.setattr(A, "REMEMBERED", 50)
     monkeypatch.setattr(A, "SLICE_BYTES", 2000)
     aligner = A.Aligner(A.default_paths())
-    import pyarrow as pa
 
     seen = {}
     for _ in range(2):
+        forgotten = len(aligner.text)
         for part, rows_, offsets in A._each([pa.RecordBatch.from_pydict({"text": [t for _, t in data]})], "text", aligner):
             for text, f in zip(part.column("text").to_pylist(), aligner.sums(rows_, offsets)[:, 1:5].tolist(), strict=True):
                 assert seen.setdefault(text, f) == f
+        assert forgotten <= len(aligner.text) < 4000
 
 
 @pytest.mark.parametrize("seed", range(6))
