@@ -54,11 +54,18 @@ def with_rolling(df: DataFrame, partition: Sequence[str], cfg: SeriesConfig = DE
     names = list(df.columns)
     order = Window.partitionBy(*partition).orderBy(cfg.time)
     df = df.withColumn("_r", F.row_number().over(order) - 1)
-    for w in cfg.rolling_windows:
-        df = df.withColumn(f"_c{w}", F.floor(F.col("_r") / w))
-        grown = Window.partitionBy(*partition, f"_c{w}").rowsBetween(Window.unboundedPreceding, 0)
-        for side, by in (("p", F.col(cfg.time)), ("s", F.col(cfg.time).desc())):
-            df = df.withColumns({f"_{part}{side}{w}": c for part, c in zip("nmq", _moments(cfg.value, grown.orderBy(by)), strict=True)})
+    windows = sorted(set(cfg.rolling_windows), reverse=True)
+    df = df.withColumns({f"_c{w}": F.floor(F.col("_r") / w) for w in windows} | {f"_d{w}": -F.floor(F.col("_r") / w) for w in windows})
+    # Where each window divides the next longer one, chunks lie within chunks and all of them share an order.
+    nested = all(long % short == 0 for long, short in zip(windows, windows[1:], strict=False))
+    for side, chunk, by in (("s", "_d", F.col(cfg.time).desc()), ("p", "_c", F.col(cfg.time))):
+        for i, w in enumerate(windows):
+            outer, inner = (windows[: i + 1], windows[i + 1:]) if nested else ([w], [])
+            grown = Window.partitionBy(*partition, *[f"{chunk}{x}" for x in outer]).orderBy(*[f"{chunk}{x}" for x in inner], by)
+            grown = grown.rowsBetween(Window.unboundedPreceding, 0)
+            df = df.withColumns({f"_{part}{side}{w}": c for part, c in zip("nmq", _moments(cfg.value, grown), strict=True)})
+    if nested:
+        order = Window.partitionBy(*partition).orderBy(*[f"_c{x}" for x in windows], cfg.time)
     parts: dict[str, Column] = {}
     for w in cfg.rolling_windows:
         # A frame that is one whole chunk has no second part.
@@ -94,7 +101,7 @@ def add_rolling_features(df: DataFrame, cfg: SeriesConfig = DEFAULT) -> DataFram
 
 
 def history_features(df: DataFrame, cfg: SeriesConfig = DEFAULT) -> DataFrame:
-    """Lags and rolling statistics with one exchange and one sort for all of them."""
+    """Lags and rolling statistics with one exchange for all of them, and three sorts: in time, back in time, and by chunks."""
     blocked = _in_blocks(df, cfg, cfg.look_back + 1)
     part = (cfg.entity, B.BLOCK)
     return B.close_blocks(with_rolling(with_lags(blocked, part, cfg), part, cfg))

@@ -8,6 +8,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Folders of local sessions that name none, by application.
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A new folder below the checkpoint folder the cluster names.
 
@@ -18,9 +22,11 @@ def shared_dir(spark: SparkSession, label: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-        spark.sparkContext.setCheckpointDir(root)
-        spark.conf.set("spark.checkpoint.dir", root)
+        app = spark.sparkContext.applicationId
+        if app not in _LOCAL_DIRS:
+            _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+            spark.sparkContext.setCheckpointDir(_LOCAL_DIRS[app])
+        root = _LOCAL_DIRS[app]
     return f"{root.rstrip('/')}/slotwise/{label}-{uuid.uuid4().hex}"
 
 
