@@ -6,6 +6,8 @@ transformations and leave the writing to the caller.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,8 +30,10 @@ def latest_versions(versions: DataFrame) -> DataFrame:
     return versions.groupBy("model_name").agg(F.max_by(F.struct(*versions.columns), "version").alias("x")).select("x.*")
 
 
-def champion(versions: DataFrame) -> DataFrame:
-    """Lowest MAE among the latest versions of the families, latest without MAE skipped."""
+def champion(versions: DataFrame, candidates: Sequence[str] | None = None) -> DataFrame:
+    """Lowest MAE among the latest versions of the families (of ``candidates`` only, if given), latest without MAE skipped."""
+    if candidates is not None:
+        versions = versions.filter(F.col("model_name").isin(list(candidates)))
     return best_run(latest_versions(versions), "mae")
 
 

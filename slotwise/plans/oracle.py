@@ -546,6 +546,29 @@ QUERIES: dict[str, str] = {
 }
 QUERIES["asof_join_merge"] = QUERIES["asof_join"]
 QUERIES["stream_features"] = QUERIES["build_features"]
+QUERIES["stream_pairing"] = QUERIES["stream_enrich"]
+QUERIES["state_buffer"] = QUERIES["recent_buffer"]
+# Slots before the mark are fed once each, if the feature has a value.
+QUERIES["stream_monitor"] = """
+    WITH mark AS (SELECT time_bucket(INTERVAL 6 HOUR, max(timestamp) - INTERVAL 1 HOUR) AS mark FROM meter_raw)
+    SELECT household_id, feature, count(*) AS n_updates, max(timestamp) AS last_fed
+    FROM (SELECT household_id, timestamp, unnest(['consumption_kwh', 'temperature_c', 'heating_degree', 'lag_1', 'lag_4']) AS feature,
+                 unnest([consumption_kwh, temperature_c, heating_degree, lag_1, lag_4]) AS value FROM features), mark
+    WHERE value IS NOT NULL AND timestamp < mark GROUP BY 1, 2"""
+QUERIES["champion_of"] = f"""
+    SELECT model_name, version, {rd('mae')}, stage
+    FROM (SELECT * FROM versions WHERE model_name IN ('FRANCE', 'GERMANY', 'JAPAN', 'BRAZIL')
+          QUALIFY row_number() OVER (PARTITION BY model_name ORDER BY version DESC) = 1) few
+    WHERE mae IS NOT NULL ORDER BY few.mae, model_name, version LIMIT 1"""
+QUERIES["leafwise_split"] = f"""
+    WITH bins AS (SELECT CAST(l_quantity AS DOUBLE) AS x, count(*) AS n, sum(CAST(l_extendedprice AS DOUBLE)) AS g FROM lineitem GROUP BY 1),
+         cuts AS (SELECT x, sum(n) OVER (ORDER BY x) AS nl, sum(g) OVER (ORDER BY x) AS gl FROM bins),
+         whole AS (SELECT sum(n) AS n, sum(g) AS g FROM bins)
+    SELECT x AS cut, CAST(nl AS BIGINT) AS n_left, {rd('gl / nl', 4, 'left_value')}, {rd('(g - gl) / (n - nl)', 4, 'right_value')}
+    FROM cuts, whole WHERE nl >= 20 AND n - nl >= 20 ORDER BY gl * gl / nl + (g - gl) * (g - gl) / (n - nl) DESC LIMIT 1"""
+QUERIES["train_runs"] = """
+    SELECT * FROM (VALUES (1, 'linear_regression', 'FINISHED', NULL, TRUE), (2, 'random_forest', 'FINISHED', NULL, TRUE),
+                          (3, 'no_family', 'FAILED', 'no such family', NULL)) AS runs(run_id, model_name, status, error, has_metrics)"""
 
 # One row per expectation; the counts are recomputed here, the thresholds are restated.
 _CHECKS = {
@@ -593,6 +616,16 @@ QUERIES["validation_summary"] = (
     + " UNION ALL ".join(f"SELECT * FROM ({_prepend(c)})" for c in _CHECKS.values()) + ") GROUP BY 1"
 )
 
+_ATTEMPTS = (("meter_raw", 0), ("readings", 1), ("meter_raw", 1))
+QUERIES["gated_publish"] = " UNION ALL ".join(
+    f"SELECT {i} AS version, 'smart_meter' AS suite, (SELECT count(*) FROM {rows}) AS n_rows,"
+    " count(*) FILTER (WHERE NOT success AND severity = 'CRITICAL') = 0 AS published, count(*) AS n_expectations,"
+    " count(*) FILTER (WHERE NOT success AND severity = 'CRITICAL') AS n_critical_failures,"
+    " count(*) FILTER (WHERE NOT success AND severity = 'WARN') AS n_warn_failures,"
+    f" {readable} * (SELECT count(*) FROM readings) AS readable_rows FROM ({_CHECKS['smart_meter'].replace('meter_raw', rows)})"
+    for i, (rows, readable) in enumerate(_ATTEMPTS, 1)
+)
+
 # Views, clicks and errors are tested, all others measured.
 _DRIFT = f"""
     SELECT feature,

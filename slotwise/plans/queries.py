@@ -17,10 +17,11 @@ from slotwise.functions.timegrid import to_local_time
 from slotwise.operators import attribution as A
 from slotwise.operators import cleaning, drift, features, grid, joins, lifecycle, models, quality, registry, rules, scoring, split
 from slotwise.operators import distribution as D
+from slotwise.operators.leafwise import LeafwiseRegressor
 from slotwise.plans import fixtures as fx
 from slotwise.session import shared_dir, written
-from slotwise.sources import readers, store
-from slotwise.streaming import adwin, live
+from slotwise.sources import publish, readers, store
+from slotwise.streaming import adwin, buffers, live, monitor, pairing
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -442,6 +443,21 @@ def validate_calendar(spark, d):
     return quality.run_suite(fx.calendar(spark, d), "calendar")
 
 
+@query
+def gated_publish(spark, d):
+    """Raw, cleaned and again raw readings behind the gate of their suite: only the cleaned ones become readable."""
+    table = publish.CheckedTable(spark, shared_dir(spark, "gate"), "smart_meter")
+    readable = []
+    for rows in (fx.meter_raw(spark, d), fx.readings(spark, d), fx.meter_raw(spark, d)):
+        table.publish(rows)
+        try:
+            readable.append(table.read().count())
+        except LookupError:
+            readable.append(0)
+    seen = spark.createDataFrame(list(enumerate(readable, 1)), "version int, readable_rows bigint")
+    return table.reports().join(seen, "version")
+
+
 @query
 def validation_summary(spark, d):
     parts = [validate_meter(spark, d), validate_weather(spark, d), validate_calendar(spark, d)]
@@ -566,7 +582,8 @@ def linreg_fit(spark, d):
         "n", F.lit(float(model.coefficients[0])).alias("slope"), F.lit(float(model.intercept)).alias("intercept")), 3)
 
 
-TREES, ROUNDS = 10, 5
+# A job a level of each tree makes the leaf-wise family slow on a small table: see the README for 300 rounds.
+LEAFWISE_ROUNDS = 10
 # A month is short against the purge of a week, so validation takes a larger share.
 FIT_VAL = 0.35
 FIT_COLUMNS = ("lag_1", "lag_2", "lag_4", "lag_28", "roll_mean_4", "roll_std_4", "hour_sin", "hour_cos",
@@ -574,7 +591,9 @@ FIT_COLUMNS = ("lag_1", "lag_2", "lag_4", "lag_28", "roll_mean_4", "roll_std_4",
 
 
 def _fit(spark, d, *families: str):
-    chosen = {k: v for k, v in models.factories(trees=TREES, rounds=ROUNDS).items() if k in families}
+    chosen = {k: v for k, v in models.factories().items() if k in families}
+    if "histogram_boosting" in chosen:
+        chosen["histogram_boosting"] = models.factories(rounds=LEAFWISE_ROUNDS)["histogram_boosting"]
     f = fx.stored_features(spark, d)
     return models.train_and_compare(f, FIT_COLUMNS, fx.GRID, chosen, val_share=FIT_VAL)
 
@@ -607,6 +626,18 @@ def tree_attribution(spark, d):
     return A.tree_attributions(rows, model, FIT_COLUMNS, ["household_id", "timestamp"])
 
 
+@query
+def leafwise_split(spark, d):
+    """The first split that best-first growth makes: two leaves, one feature, every value its own bin."""
+    li = fx.table(spark, d, "lineitem").select(F.col("l_extendedprice").cast("double").alias("y"), F.col("l_quantity").cast("double").alias("x"))
+    settings = {"labelCol": "y", "maxIter": 1, "maxLeaves": 2, "stepSize": 1.0, "featureShare": 1.0}
+    tree = LeafwiseRegressor(**settings).fit(models.assemble(li, ["x"])).tree_nodes()[0]
+    _, cut, left, right, value = tree
+    mean = li.agg(F.avg("y")).scalar()
+    return rounded(li.agg(F.count_if(F.col("x") <= cut[0]).alias("n_left")).select(
+        F.lit(float(cut[0])).alias("cut"), "n_left", (mean + value[left[0]]).alias("left_value"), (mean + value[right[0]]).alias("right_value")), 4)
+
+
 @query
 def score_requests(spark, d):
     return scoring.score_requests(fx.requests(spark, d), fx.WEIGHTS, MODEL_FEATURES, fx.GRID)
@@ -634,6 +665,12 @@ def recent_mean(spark, d):
 # --- registry ------------------------------------------------------------------------
 
 
+@query
+def champion_of(spark, d):
+    """The champion among some families only."""
+    return rounded(registry.champion(fx.runs(spark, d), ["FRANCE", "GERMANY", "JAPAN", "BRAZIL"]))
+
+
 @query
 def best_run(spark, d):
     return rounded(registry.best_run(fx.runs(spark, d)))
@@ -662,6 +699,19 @@ def _trained(spark, d) -> lifecycle.ModelStore:
     return store
 
 
+@query
+def train_runs(spark, d):
+    """Families fitted side by side, one of which can't be: its run is FAILED, the others finish."""
+    store = lifecycle.ModelStore(spark, shared_dir(spark, "models"))
+
+    def broken(label: str):
+        raise RuntimeError("no such family")
+
+    families = {k: v for k, v in models.factories().items() if k in ("linear_regression", "random_forest")} | {"no_family": broken}
+    runs = store.train(fx.stored_features(spark, d), FIT_COLUMNS, fx.GRID, families, val_share=FIT_VAL)
+    return runs.select("run_id", "model_name", "status", "error", (F.col("metrics")["mae"] > 0).alias("has_metrics"))
+
+
 @query
 def register_and_promote(spark, d):
     store = _trained(spark, d)
@@ -713,15 +763,48 @@ def stream_enrich(spark, d):
     return rounded(out)
 
 
+@query
+def stream_pairing(spark, d):
+    """The same pairs with weather as a stream of its own."""
+    stream = _reading_stream(spark, d).select("seq", "household_id", "timestamp", "consumption_kwh")
+    folder = shared_dir(spark, "weather-files")
+    fx.weather_raw(spark, d).repartition(3).write.parquet(folder)
+    w = live.read_stream(spark, folder, spark.read.parquet(folder).schema, max_files=1)
+    out = pairing.paired_table(stream, w, fx.WEATHER_VALUES, shared_dir(spark, "pairs"), fx.GRID, lateness_minutes=31 * 1440)
+    place = {"source_latitude": F.lit(fx.PLACE[0]), "source_longitude": F.lit(fx.PLACE[1])}
+    return rounded(out.withColumn("is_real_weather", F.col("weather_at").isNotNull()).drop("weather_at").withColumns(place))
+
+
+def _clean_live(rows: DataFrame) -> DataFrame:
+    first = cleaning.dedupe_first(rows, ["household_id", "timestamp"])
+    return first.withColumn("consumption_kwh", X.winsorise(F.col("consumption_kwh")))
+
+
 @query
 def stream_features(spark, d):
     w, c = written(fx.weather(spark, d), "weather"), written(fx.calendar(spark, d), "calendar")
+    return rounded(live.feature_stream(_reading_stream(spark, d), w, c, shared_dir(spark, "live"), fx.GRID, _clean_live))
 
-    def clean(rows: DataFrame) -> DataFrame:
-        first = cleaning.dedupe_first(rows, ["household_id", "timestamp"])
-        return first.withColumn("consumption_kwh", X.winsorise(F.col("consumption_kwh")))
 
-    return rounded(live.feature_stream(_reading_stream(spark, d), w, c, shared_dir(spark, "live"), fx.GRID, clean))
+@query
+def stream_monitor(spark, d):
+    """Detectors fed by live features, ten days a micro-batch: how often and up to which slot each was fed."""
+    folder = shared_dir(spark, "event-files")
+    events = fx.table(spark, d, "events")
+    for i, (low, high) in enumerate((("2024-01-01", "2024-01-11"), ("2024-01-11", "2024-01-21"), ("2024-01-21", "2100-01-01"))):
+        events.filter((F.col("ts") < fx.ntz(high)) & (F.col("ts") >= fx.ntz(low) if i else F.lit(True))).coalesce(1).write.parquet(f"{folder}/part={i}")
+    stream = fx.shape_meter(live.read_stream(spark, f"{folder}/*", events.schema, max_files=1))
+    w, c = written(fx.weather(spark, d), "weather"), written(fx.calendar(spark, d), "calendar")
+    names = ("consumption_kwh", "temperature_c", "heating_degree", "lag_1", "lag_4")
+    out = monitor.monitored_stream(stream, w, c, shared_dir(spark, "monitor"), fx.GRID, _clean_live, names)
+    return out.filter("kind = 'state'").groupBy("household_id", "feature").agg(F.max("n_updates").alias("n_updates"), F.max("timestamp").alias("last_fed"))
+
+
+@query
+def state_buffer(spark, d):
+    """The last readings as keyed list state."""
+    out = buffers.state_buffer(_reading_stream(spark, d), shared_dir(spark, "state"), fx.GRID, n=20)
+    return out.select("seq", "household_id", "timestamp", "consumption_kwh")
 
 
 @query

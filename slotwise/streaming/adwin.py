@@ -8,10 +8,10 @@ the detector's O(log n) buckets as state.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -194,7 +194,12 @@ def backfill_events(rows: DataFrame, path: str, delta: float = DELTA) -> DataFra
     and writes the detectors of all keys for the next. Memory per task stays that of one
     Arrow batch, whatever share of a micro-batch one key has.
     """
-    spark = rows.sparkSession
+    run_available(rows, detector_batches(rows.sparkSession, path, delta), f"{path}/checkpoint")
+    return rows.sparkSession.read.parquet(f"{path}/out").select(*_OUT)
+
+
+def detector_batches(spark: SparkSession, path: str, delta: float = DELTA) -> Callable[[DataFrame, int], None]:
+    """Handler that walks a batch of input rows after the detectors saved by the batch before, and saves all of them again."""
     write = batch_folder(f"{path}/out")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
@@ -206,8 +211,7 @@ def backfill_events(rows: DataFrame, path: str, delta: float = DELTA) -> DataFra
             batch = batch.select("*", *empty)
         write(_walk(batch, delta), batch_id)
 
-    run_available(rows, handle, f"{path}/checkpoint")
-    return spark.read.parquet(f"{path}/out").select(*_OUT)
+    return handle
 
 
 def stream_events(rows: DataFrame, delta: float = DELTA) -> DataFrame:
@@ -235,8 +239,11 @@ def stream_events(rows: DataFrame, delta: float = DELTA) -> DataFrame:
     )
 
 
-def drift_status(events: DataFrame, n_updates: DataFrame, delta: float = DELTA, recent: int = 10) -> DataFrame:
-    """One row: updates, drift events, features that ever drifted, the last events.
+def drift_status(
+    events: DataFrame, n_updates: DataFrame, delta: float = DELTA, recent: int = 10, windows: DataFrame | None = None
+) -> DataFrame:
+    """One row: updates, drift events, features that ever drifted, the last events and, from
+    ``windows`` (feature, width: see ``detector_windows``), the widest window of each feature.
 
     The features are the monitored ones, a short fixed list, and the recent events are a
     top-n, so nothing in this row grows with the data.
@@ -244,12 +251,17 @@ def drift_status(events: DataFrame, n_updates: DataFrame, delta: float = DELTA,
     ordered = events.orderBy(F.desc("timestamp"), "feature").limit(recent)
     stamp = F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS")
     tail = ordered.agg(F.sort_array(F.collect_list(F.struct(stamp.alias("timestamp"), "feature")))).scalar()
-    return events.agg(
+    status = events.agg(
         F.count(F.lit(1)).alias("n_drift_events_total"),
         F.array_sort(F.collect_set("feature")).alias("features_with_drift_ever"),
     ).select(
         n_updates.scalar().alias("n_updates"), "*", tail.alias("recent_events"), F.lit(delta).alias("delta")
     )
+    if windows is None:
+        return status
+    widest = windows.groupBy("feature").agg(F.max("width").alias("width"))
+    entries = F.map_from_entries(F.array_sort(F.collect_list(F.struct("feature", "width"))))
+    return status.withColumn("window_widths", widest.agg(entries).scalar())
 
 
 def detector_windows(output: DataFrame) -> DataFrame:

@@ -131,17 +131,16 @@ def location_mix(readings: DataFrame, latitude: float, longitude: float) -> Data
     return counts.withColumn("is_mixed", (F.col("n_here") > 0) & (F.col("n_here") < F.col("n_total")))
 
 
-def feature_stream(
-    stream: DataFrame, weather: DataFrame, calendar: DataFrame, path: str, cfg: SeriesConfig,
+def feature_batches(
+    spark: SparkSession, weather: DataFrame, calendar: DataFrame, path: str, cfg: SeriesConfig,
     clean: Callable[[DataFrame], DataFrame] = lambda df: df,
-) -> DataFrame:
-    """Features of all slots so far, kept up to date batch by batch.
+) -> Callable[[DataFrame, int], None]:
+    """Handler that keeps the features of all slots so far up to date below ``path``.
 
     A batch stores its readings, then recomputes the slots from its earliest reading on
     for the entities it touches. Readings older than the look-back of that slot are pruned
     by day folder. The result equals the batch job over all readings, late ones included.
     """
-    spark = stream.sparkSession
     store, seen, out = f"{path}/readings", f"{path}/seen", f"{path}/features"
     reach = (cfg.look_back + 1 + C.SHORT_GAP_LIMIT) * cfg.step_us
     write = batch_folder(out)
@@ -168,5 +167,14 @@ def feature_stream(
         )
         write(changed.drop("_from"), batch_id)
 
-    run_available(stream, handle, f"{path}/checkpoint")
-    return newest_per_key(spark.read.parquet(out), [cfg.entity, cfg.time])
+    return handle
+
+
+def feature_stream(
+    stream: DataFrame, weather: DataFrame, calendar: DataFrame, path: str, cfg: SeriesConfig,
+    clean: Callable[[DataFrame], DataFrame] = lambda df: df,
+) -> DataFrame:
+    """Features of all slots of a stream of readings, the newest version of each."""
+    spark = stream.sparkSession
+    run_available(stream, feature_batches(spark, weather, calendar, path, cfg, clean), f"{path}/checkpoint")
+    return newest_per_key(spark.read.parquet(f"{path}/features"), [cfg.entity, cfg.time])
