@@ -25,8 +25,6 @@ KINDS = ("email", "ip", "card", "phone")
 SAMPLE, WINDOWS, PASSES = 300, 500, 60
 LONGEST = 12
 CONTEXT = 4
-#: Longer windows are cut; a segment never reaches over more than LONGEST atoms.
-WINDOW_ATOMS = 4000
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]")
@@ -94,7 +92,7 @@ def windows(text: str, taken: list[tuple[int, int, int]]):
             reach, held = max(reach, held[1]), next(spans, None)
         if t >= reach:
             free.append(t)
-    at = 0
+    at, ranges = 0, []
     while at < len(free):
         lo = max(0, free[at] - 80)
         hi = free[at] + 80
@@ -102,12 +100,16 @@ def windows(text: str, taken: list[tuple[int, int, int]]):
         while at < len(free) and free[at] <= hi:
             hi = free[at] + 80
             at += 1
-        # Whole words at both ends.
-        while lo > 0 and not text[lo - 1].isspace() and hi - lo < 10_000:
+        # Whole words at the left end; what reaches into the window before is one with it.
+        limit = ranges[-1][1] if ranges else 0
+        while lo > limit and not text[lo - 1].isspace():
             lo -= 1
-        atoms = [(m.start(), m.end()) for m in _ATOM.finditer(text, lo, min(hi, len(text)))]
-        for i in range(0, len(atoms), WINDOW_ATOMS):
-            yield atoms[i: i + WINDOW_ATOMS]
+        if ranges and lo <= limit:
+            ranges[-1][1] = hi
+        else:
+            ranges.append([lo, hi])
+    for lo, hi in ranges:
+        yield [(m.start(), m.end()) for m in _ATOM.finditer(text, lo, min(hi, len(text)))]
 
 
 NAMES = (
@@ -394,7 +396,7 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added.
 
     Counts and hash are those of the fixed patterns; ``spans`` holds these and what the field adds. Offsets are code points, ends
-    exclusive. Null and empty texts have no spans; rows are answered one by one, so repeated rows and ids are kept; other columns
+    exclusive. Null and empty texts have no spans; a text of any length is decoded as a whole; rows are answered one by one, so repeated rows and ids are kept; other columns
     are ignored; an empty table gives no rows.
     """
     rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))

@@ -44,16 +44,21 @@ def _runs(words: Words, hashes: np.ndarray, window: int, gram: int):
     rolling = Rolling(hashes)
     grams = np.full(n, np.iinfo(np.uint64).max, U64)
     grams[: n - gram + 1] = rolling.of(np.arange(n - gram + 1), gram)
-    # Smallest hash of each span of window - gram + 1 grams, with its place in the low bits.
-    place_bits = U64(24)
-    low = ((grams >> place_bits) << place_bits) | np.arange(n, dtype=U64)
+    # Smallest hash of each span of window - gram + 1 grams, and its place: the first one of equals.
+    low, place = grams.copy(), np.arange(n)
+
+    def look(ahead: int) -> None:
+        better = low[ahead:] < low[: n - ahead]
+        place[: n - ahead] = np.where(better, place[ahead:], place[: n - ahead])
+        low[: n - ahead] = np.where(better, low[ahead:], low[: n - ahead])
+
     span, width = 1, window - gram + 1
     while span * 2 <= width:
-        low[: n - span] = np.minimum(low[: n - span], low[span:])
+        look(span)
         span *= 2
     if span < width:
-        low[: n - (width - span)] = np.minimum(low[: n - (width - span)], low[width - span:])
-    anchor = (low[starts] & U64((1 << 24) - 1)).astype(np.int64)
+        look(width - span)
+    anchor = place[starts]
     document = np.repeat(np.arange(len(first)), counts)
     new = np.ones(len(starts), bool)
     new[1:] = (document[1:] != document[:-1]) | (anchor[1:] != anchor[:-1])

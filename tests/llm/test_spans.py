@@ -166,3 +166,18 @@ def test_personal_data_rows(spark):
         base = brute_base(dict(rows)[r.doc_id])
         assert {f"{P.KINDS[k]}:{s}:{e}" for s, k, e in base} <= set(r.spans.split(","))
     assert P.find_personal_data(frame(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("before", [10, 3994, 3996, 3998, 9000])
+def test_added_spans_do_not_depend_on_their_place(field, before):
+    """A dense run of numbers is one window, however long."""
+    weights, moves = field
+    text = " ".join(["7"] * before) + " call (212) 555-4688 now"
+    found = [(P.KINDS[k], text[s:e]) for s, k, e in P.added_spans(text, P.base_spans(text), weights, moves)]
+    assert found[-1] == ("phone", "(212) 555-4688")
+
+
+def test_windows_meet_once_and_hold_whole_words():
+    text = "x" * 30_000 + "1" + "y" * 500 + "2 end"
+    atoms = [a for window in P.windows(text, []) for a in window]
+    assert atoms == sorted(set(atoms)) and atoms[0] == (0, 30_000) and (30_000, 30_001) in atoms

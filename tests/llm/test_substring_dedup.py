@@ -1,9 +1,10 @@
 import hashlib
 import re
 
+import numpy as np
 import pytest
 
-from slotwise.llm.substring_dedup import remove_repeats
+from slotwise.llm.substring_dedup import _runs, remove_repeats
 from tests.llm.frames import corpus, frame, tuples, with_clashes
 
 
@@ -56,3 +57,18 @@ def test_smallest_document_holds_a_context_at_several_places(spark, length):
 
 def test_empty_table(spark):
     assert remove_repeats(frame(spark, [])).count() == 0
+
+
+def test_anchor_does_not_depend_on_the_place():
+    """The same 60 words behind few and behind more than 2**24 others have the same anchors and contexts."""
+    from types import SimpleNamespace
+
+    r = np.random.default_rng(8)
+    words = r.integers(0, 1 << 63, (1 << 24) + 6000).astype(np.uint64)
+    passage = words[-60:].copy()
+    anchors = []
+    for text in (words, np.concatenate([words[:5000], passage]), passage):
+        _, lo, hi, anchor, _, _ = _runs(SimpleNamespace(offsets=np.array([0, len(text)])), text, 50, 8)
+        # Runs that reach the windows inside the passage.
+        anchors.append(set(anchor[hi >= len(text) - 60].tolist()))
+    assert anchors[0] == anchors[1] == anchors[2]
