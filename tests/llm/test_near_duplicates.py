@@ -105,7 +105,7 @@ def brute_lines(rows):
             if len(normal(line).split()) >= L.LEAST_WORDS:
                 places.setdefault(normal(line), []).append((i, n, t))
     keys = list(places)
-    sim = {k: int(L.Lines(pa.array([k])).simhashes()[0]) for k in keys}
+    sim = {k: int(L.Lines(pa.array([k])).simhashes(np.array([0]))[0]) for k in keys}
     links = [(a, b) for x, a in enumerate(keys) for b in keys[:x] if (sim[a] ^ sim[b]).bit_count() <= L.MOST_BITS and L.similar(a, b, L.SIMILARITY)]
     top = groups(keys, links)
     first = {}
