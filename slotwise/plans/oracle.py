@@ -616,6 +616,66 @@ QUERIES["validation_summary"] = (
     + " UNION ALL ".join(f"SELECT * FROM ({_prepend(c)})" for c in _CHECKS.values()) + ") GROUP BY 1"
 )
 
+# The detector as a recursion over each household's rows: a step takes the next row or, after every 32nd value, tests
+# the window and drops its oldest bucket, once per step, until no split differs. Buckets are lists of (size, sum, squares).
+_SPLIT = "list_sum(list_transform(buckets[1:k], lambda z: z.n))"
+_PART = "list_sum(list_transform(buckets[1:k], lambda z: z.s))"
+_CONFIDENCE = "ln(2 * ln(greatest(width, 2)) / delta)"
+_HARMONIC = f"(1.0 / nullif({_SPLIT} - 4, 0) + 1.0 / nullif(width - {_SPLIT} - 4, 0))"
+_DIFFERS = f"""len(list_filter(range(1, len(buckets) + 1), lambda k: {_SPLIT} >= 5 AND width - {_SPLIT} >= 5
+    AND abs({_PART} / {_SPLIT} - (total - {_PART}) / nullif(width - {_SPLIT}, 0))
+        > sqrt(greatest(2 * {_HARMONIC} * greatest(spread, 0) / nullif(width, 0) * {_CONFIDENCE}, 0)) + 2.0 / 3 * {_CONFIDENCE} * {_HARMONIC})) > 0"""
+_MERGED = """list_reduce(
+    list_concat([list_append(buckets, {'n': 1::BIGINT, 's': value, 'q': 0.0::DOUBLE})],
+                list_transform([1, 2, 4, 8, 16, 32, 64, 128, 256, 512], lambda z: [{'n': z::BIGINT, 's': 0.0::DOUBLE, 'q': 0.0::DOUBLE}])),
+    lambda acc, m: CASE WHEN len(list_filter(acc, lambda z: z.n = m[1].n)) <= 5 THEN acc ELSE list_concat(
+        list_append(acc[1:list_position(list_transform(acc, lambda z: z.n), m[1].n) - 1],
+            {'n': 2 * m[1].n,
+             's': acc[list_position(list_transform(acc, lambda z: z.n), m[1].n)].s + acc[list_position(list_transform(acc, lambda z: z.n), m[1].n) + 1].s,
+             'q': acc[list_position(list_transform(acc, lambda z: z.n), m[1].n)].q + acc[list_position(list_transform(acc, lambda z: z.n), m[1].n) + 1].q
+                  + pow((acc[list_position(list_transform(acc, lambda z: z.n), m[1].n)].s - acc[list_position(list_transform(acc, lambda z: z.n), m[1].n) + 1].s) / m[1].n, 2) * m[1].n / 2}),
+        acc[list_position(list_transform(acc, lambda z: z.n), m[1].n) + 2:]) END)"""
+
+
+def _detector(rows: str, result: str) -> str:
+    """``rows``: household_id, timestamp, seq, op, value. ``result`` selects from ``walk`` (a row a step) and ``inputs``."""
+    return f"""SELECT * FROM (WITH RECURSIVE
+    inputs AS (SELECT household_id, timestamp, op, CAST(value AS DOUBLE) AS value,
+                      row_number() OVER (PARTITION BY household_id ORDER BY timestamp, seq) AS i FROM ({rows})),
+    walk AS (
+        SELECT household_id, 0::BIGINT AS i, NULL::TIMESTAMP AS seen_at, 0.002::DOUBLE AS delta, 0::BIGINT AS ticks, 0::BIGINT AS updates,
+               0::BIGINT AS width, 0.0::DOUBLE AS total, 0.0::DOUBLE AS spread, []::STRUCT(n BIGINT, s DOUBLE, q DOUBLE)[] AS buckets,
+               FALSE AS checking, FALSE AS found, FALSE AS drifted FROM (SELECT DISTINCT household_id FROM inputs)
+        UNION ALL
+        SELECT household_id, coalesce(x_i, i), coalesce(x_seen, seen_at), CASE WHEN op = 'delta' THEN value ELSE delta END,
+               CASE WHEN op = 'value' THEN ticks + 1 WHEN op IS NULL THEN ticks ELSE 0 END, updates + (coalesce(op, '') = 'value')::BIGINT,
+               CASE WHEN op = 'value' THEN width + 1 WHEN op IS NOT NULL THEN 0 WHEN differs THEN width - buckets[1].n ELSE width END,
+               CASE WHEN op = 'value' THEN total + value WHEN op IS NOT NULL THEN 0 WHEN differs THEN total - buckets[1].s ELSE total END,
+               CASE WHEN op = 'value' THEN spread + coalesce(pow(value - total / nullif(width, 0), 2) * width / (width + 1), 0)
+                    WHEN op IS NOT NULL THEN 0
+                    WHEN differs THEN spread - buckets[1].q - pow(buckets[1].s / buckets[1].n - (total - buckets[1].s) / (width - buckets[1].n), 2)
+                                      * buckets[1].n * (width - buckets[1].n) / width ELSE spread END,
+               CASE WHEN op = 'value' THEN {_MERGED} WHEN op IS NOT NULL THEN buckets[1:0] WHEN differs THEN buckets[2:] ELSE buckets END,
+               CASE WHEN op = 'value' THEN (ticks + 1) % 32 = 0 AND width + 1 > 10 WHEN op IS NOT NULL THEN FALSE ELSE differs END,
+               op IS NULL AND differs, op IS NULL AND NOT differs AND found
+        FROM (SELECT w.*, x.op, x.value, x.i AS x_i, x.timestamp AS x_seen, CASE WHEN w.checking THEN {_DIFFERS} ELSE FALSE END AS differs
+              FROM walk w LEFT JOIN inputs x ON x.household_id = w.household_id AND x.i = w.i + 1 AND NOT w.checking
+              WHERE w.checking OR x.i IS NOT NULL)),
+    last AS (SELECT * FROM walk WHERE i > 0 AND NOT checking QUALIFY row_number() OVER (PARTITION BY household_id ORDER BY i DESC, drifted DESC, found) = 1)
+    {result})"""
+
+
+_SHIFTED = """SELECT household_id, timestamp, seq, 'value' AS op, CASE WHEN timestamp >= TIMESTAMP '2024-01-16' THEN consumption_kwh * 4 ELSE consumption_kwh END AS value
+    FROM readings WHERE consumption_kwh IS NOT NULL"""
+_ROW = "household_id, 'consumption_kwh' AS feature, seen_at AS timestamp, {} AS kind, updates AS n_updates, width, delta"
+_WINDOWS = "SELECT household_id, 'consumption_kwh' AS feature, width, updates AS n_updates, delta FROM last"
+QUERIES["adwin_events"] = _detector(_SHIFTED, f"SELECT {_ROW.format(chr(39) + 'drift' + chr(39))} FROM walk WHERE drifted UNION ALL SELECT {_ROW.format(chr(39) + 'state' + chr(39))} FROM last")
+QUERIES["adwin_stream"] = _detector(
+    "SELECT household_id, timestamp, seq, 'value' AS op, consumption_kwh AS value FROM meter_raw WHERE consumption_kwh IS NOT NULL", _WINDOWS)
+QUERIES["adwin_reset"] = _detector(
+    f"{_SHIFTED} UNION ALL SELECT DISTINCT household_id, TIMESTAMP '2024-01-29', -2, 'reset', NULL FROM readings"
+    " UNION ALL SELECT DISTINCT household_id, TIMESTAMP '2024-01-10', -1, 'delta', 0.05 FROM readings", _WINDOWS)
+
 _ATTEMPTS = (("meter_raw", 0), ("readings", 1), ("meter_raw", 1))
 QUERIES["gated_publish"] = " UNION ALL ".join(
     f"SELECT {i} AS version, 'smart_meter' AS suite, (SELECT count(*) FROM {rows}) AS n_rows,"
