@@ -566,6 +566,7 @@ QUERIES["leafwise_split"] = f"""
          whole AS (SELECT sum(n) AS n, sum(g) AS g FROM bins)
     SELECT x AS cut, CAST(nl AS BIGINT) AS n_left, {rd('gl / nl', 4, 'left_value')}, {rd('(g - gl) / (n - nl)', 4, 'right_value')}
     FROM cuts, whole WHERE nl >= 20 AND n - nl >= 20 ORDER BY gl * gl / nl + (g - gl) * (g - gl) / (n - nl) DESC LIMIT 1"""
+QUERIES["tree_request_attribution"] = f"SELECT household_id, forecast_timestamp, TRUE AS adds_up FROM ({QUERIES['score_requests']})"
 QUERIES["train_runs"] = """
     SELECT * FROM (VALUES (1, 'linear_regression', 'FINISHED', NULL, TRUE), (2, 'random_forest', 'FINISHED', NULL, TRUE),
                           (3, 'no_family', 'FAILED', 'no such family', NULL)) AS runs(run_id, model_name, status, error, has_metrics)"""

@@ -621,18 +621,32 @@ def model_comparison(spark, d):
 @query
 def tree_attribution(spark, d):
     f = written(models.prepare(fx.stored_features(spark, d), FIT_COLUMNS, fx.GRID, val_share=FIT_VAL), "trees")
-    model = models.factories(trees=5)["random_forest"]("consumption_kwh").fit(f.filter("split = 'train'"))
+    model = models.factories()["random_forest"]("consumption_kwh").fit(f.filter("split = 'train'"))
     rows = f.filter("split = 'val'").select("household_id", "timestamp", *FIT_COLUMNS)
     return A.tree_attributions(rows, model, FIT_COLUMNS, ["household_id", "timestamp"])
 
 
+@query
+def tree_request_attribution(spark, d):
+    """Contributions of a boosted ensemble to the forecasts of requests: with the expected value they add up to each forecast."""
+    names = ["lag_1", "lag_4", "roll_mean_4", "hour_sin"]
+    train = models.assemble(fx.stored_features(spark, d).select("consumption_kwh", *names).na.drop(), names)
+    model = LeafwiseRegressor(labelCol="consumption_kwh", maxIter=3, maxLeaves=16).fit(train)
+    parts = scoring.request_attributions(fx.requests(spark, d), model, names, fx.GRID)
+    total = F.col("expected_value")
+    for c in names:
+        total = total + F.col(f"phi_{c}")
+    both = parts.join(scoring.score_requests(fx.requests(spark, d), model, names, fx.GRID), ["household_id", "forecast_timestamp"])
+    return both.select("household_id", "forecast_timestamp", (F.abs(total - F.col("predicted_consumption_kwh")) < 1e-4).alias("adds_up"))
+
+
 @query
 def leafwise_split(spark, d):
     """The first split that best-first growth makes: two leaves, one feature, every value its own bin."""
     li = fx.table(spark, d, "lineitem").select(F.col("l_extendedprice").cast("double").alias("y"), F.col("l_quantity").cast("double").alias("x"))
     settings = {"labelCol": "y", "maxIter": 1, "maxLeaves": 2, "stepSize": 1.0, "featureShare": 1.0}
     tree = LeafwiseRegressor(**settings).fit(models.assemble(li, ["x"])).tree_nodes()[0]
-    _, cut, left, right, value = tree
+    _, cut, left, right, value, _ = tree
     mean = li.agg(F.avg("y")).scalar()
     return rounded(li.agg(F.count_if(F.col("x") <= cut[0]).alias("n_left")).select(
         F.lit(float(cut[0])).alias("cut"), "n_left", (mean + value[left[0]]).alias("left_value"), (mean + value[right[0]]).alias("right_value")), 4)

@@ -90,8 +90,9 @@ def test_linear_fit_and_attribution_add_up(spark):
     assert attribution.global_importance(attribution.linear_attributions(df, score, df), names).first().feature == "x1"
 
 
-@pytest.mark.parametrize("family", ["random_forest", "gradient_boosting"])
-def test_tree_attributions_add_up(spark, family):
+@pytest.mark.parametrize("family", ["random_forest", "gradient_boosting", "histogram_boosting"])
+def test_tree_attributions_add_up(spark, monkeypatch, family):
+    monkeypatch.setattr(attribution, "PART_ROWS", 100)
     df = models.assemble(linear_frame(spark), ["x1", "x2", "x3"])
     model = models.factories(trees=3, rounds=3)[family]("y").fit(df)
     out = rows(attribution.tree_attributions(df, model, ["x1", "x2", "x3"], ["id"]), "id")
@@ -99,6 +100,30 @@ def test_tree_attributions_add_up(spark, family):
     assert_close(out[["phi_x1", "phi_x2", "phi_x3"]].sum(axis=1) + out.expected_value, p, 1e-8)
 
 
+def test_fits_side_by_side_inherit_the_job_group(spark):
+    """All families run under the caller's group; one that fails ends none of the others."""
+    df = models.assemble(linear_frame(spark), ["x1", "x2", "x3"])
+    seen = []
+
+    def family(name):
+        def make(label):
+            seen.append((name, spark.sparkContext.getLocalProperty("spark.jobGroup.id")))
+            if name == "broken":
+                raise RuntimeError("no such family")
+            return models.factories()["linear_regression"](label)
+
+        return make
+
+    spark.sparkContext.setJobGroup("fits", "side by side")
+    try:
+        found = models.fit_side_by_side({n: family(n) for n in ("a", "broken", "b")}, df, "y")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert sorted(seen) == [("a", "fits"), ("b", "fits"), ("broken", "fits")]
+    assert str(found["broken"]) == "no such family" and list(found) == ["a", "broken", "b"]
+    assert found["a"].coefficients == found["b"].coefficients
+
+
 def test_leaf_shares_equal_the_definition():
     """Shapley values of one leaf by enumerating all coalitions."""
     rng = np.random.default_rng(2)
