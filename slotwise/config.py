@@ -27,6 +27,7 @@ COLD_SAVING_PER_DEGREE = 0.05
 ABOVE_MEAN_FACTOR = 1.5
 RECENT_BUFFER_ROWS = 400
 RECENT_MEAN_ROWS = 48
+HORIZON_HOURS = (1, 48)
 REFERENCE_SAMPLE_ROWS = 500
 ATTRIBUTION_SAMPLE_ROWS = 300
 BACKGROUND_ROWS = 100

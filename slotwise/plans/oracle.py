@@ -230,6 +230,12 @@ STEPS = {
     "recent_means": "SELECT household_id, avg(consumption_kwh) AS recent_mean_kwh FROM recent WHERE back <= 48 GROUP BY 1",
 }
 
+# Uploaded histories: the same features a day after the last reading, at ten degrees, of all readings that lie near enough.
+STEPS["uploads"] = "SELECT household_id, max(timestamp) + INTERVAL 24 HOUR AS forecast_timestamp, CAST(10 AS DOUBLE) AS temperature_c FROM recent GROUP BY 1"
+STEPS["upload_slots"] = STEPS["request_slots"].replace("FROM requests q", "FROM uploads q").replace(" AND h.back <= 400", "")
+STEPS["upload_x"] = STEPS["request_x"].replace("FROM request_slots", "FROM upload_slots")
+STEPS["upload_forecasts"] = STEPS["forecasts"].replace("FROM request_x", "FROM upload_x")
+
 
 def with_steps(sql: str) -> str:
     needed: set[str] = set()
@@ -566,6 +572,12 @@ QUERIES["leafwise_split"] = f"""
          whole AS (SELECT sum(n) AS n, sum(g) AS g FROM bins)
     SELECT x AS cut, CAST(nl AS BIGINT) AS n_left, {rd('gl / nl', 4, 'left_value')}, {rd('(g - gl) / (n - nl)', 4, 'right_value')}
     FROM cuts, whole WHERE nl >= 20 AND n - nl >= 20 ORDER BY gl * gl / nl + (g - gl) * (g - gl) / (n - nl) DESC LIMIT 1"""
+QUERIES["history_forecast"] = """
+    SELECT f.household_id, f.forecast_timestamp, predicted_consumption_kwh + 0.0 AS predicted_consumption_kwh, n_readings
+    FROM upload_forecasts f JOIN (
+        SELECT u.household_id, count(*) AS n_readings FROM uploads u JOIN recent r ON r.household_id = u.household_id
+             AND (r.back <= 48 OR date_diff('hour', time_bucket(INTERVAL 6 HOUR, r.timestamp), time_bucket(INTERVAL 6 HOUR, u.forecast_timestamp)) // 6 <= 28)
+        GROUP BY 1) USING (household_id)"""
 QUERIES["tree_request_attribution"] = f"SELECT household_id, forecast_timestamp, TRUE AS adds_up FROM ({QUERIES['score_requests']})"
 QUERIES["train_runs"] = """
     SELECT * FROM (VALUES (1, 'linear_regression', 'FINISHED', NULL, TRUE), (2, 'random_forest', 'FINISHED', NULL, TRUE),

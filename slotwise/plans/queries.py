@@ -657,6 +657,15 @@ def score_requests(spark, d):
     return scoring.score_requests(fx.requests(spark, d), fx.WEIGHTS, MODEL_FEATURES, fx.GRID)
 
 
+@query
+def history_forecast(spark, d):
+    """Forecasts a day ahead from uploaded histories."""
+    asked = scoring.history_requests(fx.readings(spark, d), 24, fx.GRID, F.lit(10.0))
+    scored = scoring.score_requests(asked, fx.WEIGHTS, MODEL_FEATURES, fx.GRID)
+    sizes = asked.select("household_id", F.size("recent_readings").cast("bigint").alias("n_readings"))
+    return scored.drop("request_id").join(sizes, "household_id")
+
+
 @query
 def explain_requests(spark, d):
     return rounded(scoring.explain_requests(fx.requests(spark, d), fx.WEIGHTS, _model_input(spark, d), fx.GRID), 6)

@@ -1,5 +1,6 @@
 import itertools
 import math
+from datetime import timedelta
 
 import numpy as np
 import pandas as pd
@@ -100,6 +101,25 @@ def test_tree_attributions_add_up(spark, monkeypatch, family):
     assert_close(out[["phi_x1", "phi_x2", "phi_x3"]].sum(axis=1) + out.expected_value, p, 1e-8)
 
 
+def test_history_becomes_a_request(spark):
+    """Bounded by look-back and recent mean, whatever the length of the history."""
+    df, pdf = panel(spark, n_households=2, n=900, holes=0.1)
+    cfg = SeriesConfig(lag_steps=(1, 4), rolling_windows=(8,))
+    asked = scoring.history_requests(df, 24, cfg, F.lit(5.0))
+    for r in asked.collect():
+        own = pdf[(pdf.household_id == r.household_id) & pdf.consumption_kwh.notna()].sort_values("timestamp")
+        assert r.forecast_timestamp == own.timestamp.iloc[-1].to_pydatetime() + timedelta(hours=24) and r.temperature_c == 5.0
+        assert [x.consumption_kwh for x in r.recent_readings] == own.consumption_kwh.tail(48).tolist()
+    near = scoring.history_requests(df, 1, SeriesConfig(lag_steps=(96,), rolling_windows=())).first()
+    assert len(near.recent_readings) > 48 and near.temperature_c is None
+    x = scoring.request_features(scoring.history_requests(df, 1, cfg), cfg)
+    assert x.filter("lag_4 is not null").count() > 0
+    for hours in (0, 49):
+        with pytest.raises(ValueError, match="horizon"):
+            scoring.history_requests(df, hours)
+    assert scoring.history_requests(df.filter("false"), 1).count() == 0
+
+
 def test_fits_side_by_side_inherit_the_job_group(spark):
     """All families run under the caller's group; one that fails ends none of the others."""
     df = models.assemble(linear_frame(spark), ["x1", "x2", "x3"])
