@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from slotwise import config as C
@@ -152,6 +152,12 @@ def merge_sources(
     return join_calendar(merged, calendar.drop("is_real_data"), cfg.time)
 
 
+def observed_merge(merged: DataFrame, column: str = "temperature_c") -> tuple[DataFrame, Observation]:
+    """The same rows, and what the job that computes them counts along the way: ``n_rows`` and ``n_unmatched_weather``."""
+    counters = Observation()
+    return merged.observe(counters, F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col(column).isNull()).alias("n_unmatched_weather")), counters
+
+
 def last_n(df: DataFrame, key: Sequence[str], order: Sequence[Column], n: int, spread: Sequence[str], salts: int = SALTS) -> DataFrame:
     """The last ``n`` rows per key.
 

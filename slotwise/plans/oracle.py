@@ -572,6 +572,13 @@ QUERIES["leafwise_split"] = f"""
          whole AS (SELECT sum(n) AS n, sum(g) AS g FROM bins)
     SELECT x AS cut, CAST(nl AS BIGINT) AS n_left, {rd('gl / nl', 4, 'left_value')}, {rd('(g - gl) / (n - nl)', 4, 'right_value')}
     FROM cuts, whole WHERE nl >= 20 AND n - nl >= 20 ORDER BY gl * gl / nl + (g - gl) * (g - gl) / (n - nl) DESC LIMIT 1"""
+QUERIES["merge_counters"] = "SELECT count(*) AS n_rows, count(*) FILTER (WHERE temperature_c IS NULL) AS n_unmatched_weather FROM merged"
+QUERIES["clean_calendar"] = "SELECT CAST(date AS VARCHAR) AS date, day_of_week, is_weekend, is_holiday FROM calendar"
+QUERIES["feature_names"] = "SELECT feature, n_known FROM (UNPIVOT (" + QUERIES["feature_projection"] + ") ON COLUMNS(*) INTO NAME feature VALUE n_known)"
+QUERIES["table_round_trip"] = " UNION ALL ".join(
+    f"SELECT '{name}' AS \"table\", CAST(CAST(timestamp AS DATE) AS VARCHAR) AS day, count(*) AS n_rows, count(consumption_kwh) AS n_known, {rd('sum(consumption_kwh)', 6, 'total')} FROM {step} GROUP BY 2"
+    for name, step in (("raw", "meter_raw"), ("cleaned", "cleaned"))
+)
 QUERIES["history_forecast"] = """
     SELECT f.household_id, f.forecast_timestamp, predicted_consumption_kwh + 0.0 AS predicted_consumption_kwh, n_readings
     FROM upload_forecasts f JOIN (

@@ -186,6 +186,16 @@ def features_manifest(spark, d):
     return m.select("n_rows", F.col("n_features").cast("bigint").alias("n_features"), F.array_join(F.array_sort("feature_columns"), ",").alias("names"))
 
 
+@query
+def feature_names(spark, d):
+    """The feature list of the latest version, as its manifest tells it."""
+    saved = store.FeatureStore(spark, shared_dir(spark, "features"))
+    saved.write_features(fx.features(spark, d), fx.GRID)
+    names = saved.feature_names()
+    table = saved.read_features(names)
+    return table.agg(*[F.count(c).alias(c) for c in names]).unpivot([], names, "feature", "n_known")
+
+
 @query
 def file_manifest(spark, d):
     m = store.file_manifest(spark, [d, f"{d}/no_such_folder"])
@@ -256,6 +266,26 @@ def interpolate_time(spark, d):
     return rounded(cleaning.interpolate_time(fx.weather_raw(spark, d), fx.WEATHER_VALUES).drop("seq"))
 
 
+@query
+def clean_calendar(spark, d):
+    days = fx.calendar(spark, d).withColumn("seq", F.dayofyear("date").cast("bigint"))
+    later = days.withColumns({"seq": F.col("seq") + 1000, "is_weekend": ~F.col("is_weekend"), "is_holiday": F.lit(True)})
+    return cleaning.clean_calendar(later.unionByName(days)).select(F.col("date").cast("string").alias("date"), "day_of_week", "is_weekend", "is_holiday")
+
+
+@query
+def table_round_trip(spark, d):
+    """Raw and cleaned tables written by day and read back."""
+    parts = []
+    for name, rows in (("raw", fx.meter_raw(spark, d)), ("cleaned", cleaning.clean_meter(fx.meter_hourly(spark, d), fx.HOURLY))):
+        path = shared_dir(spark, name)
+        store.write_table(rows, path)
+        back = spark.read.parquet(path)
+        day = back.groupBy(F.lit(name).alias("table"), F.col("dt").cast("string").alias("day"))
+        parts.append(day.agg(F.count(F.lit(1)).alias("n_rows"), F.count("consumption_kwh").alias("n_known"), F.sum("consumption_kwh").alias("total")))
+    return rounded(parts[0].unionByName(parts[1]), 6)
+
+
 @query
 def clean_weather(spark, d):
     twice = fx.weather_raw(spark, d)
@@ -307,6 +337,16 @@ def merge_sources(spark, d):
     return rounded(joins.merge_sources(flagged, fx.weather(spark, d), fx.calendar(spark, d), fx.GRID).drop("day_of_week"))
 
 
+@query
+def merge_counters(spark, d):
+    """Rows and unmatched weather, counted by the job that writes the merged table."""
+    clean = cleaning.forward_fill(fx.grid(spark, d), fx.GRID).withColumn("is_real_data", F.lit(True))
+    merged, counters = joins.observed_merge(joins.merge_sources(clean, fx.weather(spark, d), fx.calendar(spark, d), fx.GRID))
+    written(merged, "merged")
+    found = counters.get
+    return spark.createDataFrame([(found["n_rows"], found["n_unmatched_weather"])], "n_rows bigint, n_unmatched_weather bigint")
+
+
 # --- features ------------------------------------------------------------------------
 
 
