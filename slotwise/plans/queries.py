@@ -754,11 +754,15 @@ def production_row(spark, d):
     return rounded(registry.production_row(registry.promote(fx.runs(spark, d))))
 
 
+def _families() -> dict:
+    """Two families, so that there is a champion to choose."""
+    return {k: v for k, v in models.factories().items() if k in ("linear_regression", "random_forest")}
+
+
 def _trained(spark, d) -> lifecycle.ModelStore:
-    """A store with one trained family, the linear one."""
+    """A store with the versions of one training run."""
     store = lifecycle.ModelStore(spark, shared_dir(spark, "models"))
-    linear = {"linear_regression": models.factories()["linear_regression"]}
-    store.train(fx.stored_features(spark, d), FIT_COLUMNS, fx.GRID, linear, val_share=FIT_VAL)
+    store.train(fx.stored_features(spark, d), FIT_COLUMNS, fx.GRID, _families(), val_share=FIT_VAL)
     return store
 
 
@@ -770,7 +774,7 @@ def train_runs(spark, d):
     def broken(label: str):
         raise RuntimeError("no such family")
 
-    families = {k: v for k, v in models.factories().items() if k in ("linear_regression", "random_forest")} | {"no_family": broken}
+    families = _families() | {"no_family": broken}
     runs = store.train(fx.stored_features(spark, d), FIT_COLUMNS, fx.GRID, families, val_share=FIT_VAL)
     return runs.select("run_id", "model_name", "status", "error", (F.col("metrics")["mae"] > 0).alias("has_metrics"))
 
@@ -794,9 +798,8 @@ def serve_production(spark, d):
 def retrain_job(spark, d):
     store = _trained(spark, d)
     store.promote()
-    linear = {"linear_regression": models.factories()["linear_regression"]}
     decision = drift.retrain_decision(_severities(spark, d), F.lit(C.MAX_AGE_DAYS))
-    out = store.retrain(decision, fx.stored_features(spark, d), FIT_COLUMNS, fx.GRID, families=linear, val_share=FIT_VAL)
+    out = store.retrain(decision, fx.stored_features(spark, d), FIT_COLUMNS, fx.GRID, families=_families(), val_share=FIT_VAL)
     return rounded(out, 4)
 
 
