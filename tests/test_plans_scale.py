@@ -106,3 +106,15 @@ def test_value_ranges_split_a_feature(spark):
     # A third of the rows in one value is one row after counting.
     heavy = df.unionByName(spark.range(2500).select(F.lit("f").alias("feature"), F.lit(3.3).alias("value")))
     assert D.cumulated(heavy).count() <= 5001
+
+
+def test_empty_slots_are_made_by_many_tasks(spark):
+    # Two readings of an entity are few bytes, but a month of half-hours between them many rows.
+    month = F.explode(F.array(F.lit("2024-01-01").cast("timestamp_ntz"), F.lit("2024-02-01").cast("timestamp_ntz")))
+    ends = spark.range(40).select(F.format_string("HH%02d", "id").alias("household_id"), month.alias("timestamp"), F.lit(1.0).alias("consumption_kwh"))
+    cfg = SeriesConfig()
+    made = [r["count"] for r in grid._empty_slots(ends, cfg).groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(made) == 40 * (31 * 48 + 1) and max(made) < sum(made) / 2
+    aligned = grid.align_to_grid(ends.withColumn("seq", F.lit(1)), cfg)
+    held = aligned.agg(F.count("consumption_kwh"), F.count("*"), F.min("timestamp").cast("string"), F.max("timestamp").cast("string")).first()
+    assert tuple(held) == (80, sum(made), "2024-01-01 00:00:00", "2024-02-01 00:00:00")
