@@ -12,6 +12,7 @@ from __future__ import annotations
 import copy
 import os
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +23,8 @@ from slotwise.llm.common import Words, ranges, slices, text_key
 
 #: Words a process remembers before it starts anew.
 REMEMBERED = 1_000_000
+#: Words of a text that the library encodes at once, and texts of a call.
+TOGETHER, CALL = 64, 256
 #: Bytes that end a sentence when they end a word.
 ENDS = np.zeros(256, bool)
 ENDS[[ord(c) for c in ".?!"]] = True
@@ -65,21 +68,43 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.place: dict[int, int] = {}
-        self.first, self.count, self.ids = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
-        self.total = 0
+        # Remembered words by ascending hash, and the row of each in ``first`` and ``count``.
+        self.known, self.row = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.first, self.count, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+
+    def _ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, and how many each has, without an object of the library's for every text of a slice."""
+        flat, count = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+        for at in range(0, len(texts), CALL):
+            coded = [e.ids for e in self.tokenizer.encode_batch_fast(texts[at: at + CALL], add_special_tokens=False)]
+            count.append(np.fromiter(map(len, coded), np.int64, len(coded)))
+            flat.append(np.fromiter(chain.from_iterable(coded), np.int32, int(count[-1].sum())))
+        return np.concatenate(flat), np.concatenate(count)
+
+    def _coded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words, and how many each has. Words of ASCII letters and digits are encoded many in a text, with full stops between them."""
+        stop = self.sign[ord(".")]
+        plain = np.fromiter((bool(stop) and w.isascii() and w.isalnum() for w in words), bool, len(words))
+        some = [w for w, p in zip(words, plain.tolist(), strict=True) if p]
+        ids, size = self._ids([" . ".join(some[at: at + TOGETHER]) + " ." for at in range(0, len(some), TOGETHER)])
+        ends = np.flatnonzero(ids == stop) if len(some) else np.zeros(0, np.int64)
+        rest, other = self._ids([w for w, p in zip(words, plain.tolist(), strict=True) if not p])
+        count = np.empty(len(words), np.int64)
+        count[~plain], count[plain] = other, np.diff(ends, prepend=-1) - 1
+        owner = np.repeat(plain, count)
+        out = np.empty(len(owner), np.int32)
+        out[owner], out[~owner] = (ids[ids != stop] if len(some) else ids), rest
+        return out, count
 
     def _learn(self, words: Words, keys: np.ndarray, at: np.ndarray) -> None:
         raw = words.data.tobytes()
         texts = [raw[s: s + n].decode() for s, n in zip(words.start[at].tolist(), words.length[at].tolist(), strict=True)]
-        coded = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        count = np.array([len(x) for x in coded], np.int64)
-        base = len(self.place)
-        self.place.update(zip(keys.tolist(), range(base, base + len(keys)), strict=True))
-        self.first.append(self.total + np.cumsum(count) - count)
-        self.count.append(count)
-        self.ids.append(np.fromiter((i for x in coded for i in x), np.int32, int(count.sum())))
-        self.total += int(count.sum())
+        ids, count = self._coded(texts)
+        place = np.searchsorted(self.known, keys)
+        self.row = np.insert(self.row, place, np.arange(len(self.count), len(self.count) + len(keys)))
+        self.known = np.insert(self.known, place, keys)
+        self.first = np.concatenate([self.first, len(self.ids) + np.cumsum(count) - count])
+        self.count, self.ids = np.concatenate([self.count, count]), np.concatenate([self.ids, ids])
 
     def _stems(self, words: Words) -> tuple[Words, np.ndarray]:
         """The words as they are looked up, and the id of the sign set apart from each, 0 for none."""
@@ -98,15 +123,13 @@ class Encoder:
         """Ids of all words, and how many each word has."""
         stems, sign = self._stems(words)
         keys, at, index = np.unique(stems.hashes(), return_index=True, return_inverse=True)
-        if len(self.place) + len(keys) > REMEMBERED:
+        if len(self.known) + len(keys) > REMEMBERED:
             self.forget()
-        rows = np.fromiter((self.place.get(k, -1) for k in keys.tolist()), np.int64, len(keys))
-        new = np.flatnonzero(rows < 0)
+        new = np.flatnonzero(~np.isin(keys, self.known, assume_unique=True)) if len(self.known) else np.arange(len(keys))
         if len(new):
-            rows[new] = np.arange(len(self.place), len(self.place) + len(new))
             self._learn(stems, keys[new], at[new])
-            self.first, self.count, self.ids = ([np.concatenate(x)] for x in (self.first, self.count, self.ids))
-        first, count = self.first[0][rows][index], self.count[0][rows][index]
+        rows = self.row[np.searchsorted(self.known, keys)][index]
+        first, count = self.first[rows], self.count[rows]
         whole = count + (sign > 0)
         stops = np.cumsum(whole)
         out = np.empty(int(stops[-1]) if len(stops) else 0, np.int32)
@@ -114,7 +137,7 @@ class Encoder:
         ends = stops[sign > 0] - 1
         stem[ends] = False
         out[ends] = sign[sign > 0]
-        out[stem] = self.ids[0][ranges(first, count)]
+        out[stem] = self.ids[ranges(first, count)]
         return out, whole
 
 

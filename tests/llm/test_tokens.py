@@ -124,3 +124,27 @@ def test_plan_is_optimal():
             )
         cuts = packing.plan(ends, sentences, size).tolist()
         assert cuts[-1] == ends[-1] and cost(cuts, place, fee, size) == best[int(ends[-1])]
+
+
+def test_new_words_are_encoded_many_in_a_text(encode):
+    import pyarrow as pa
+
+    from slotwise.llm.common import Words
+    from slotwise.llm.tokens import Encoder
+
+    class Counting:
+        def __init__(self, inner):
+            self.inner, self.texts = inner, 0
+
+        def encode_batch_fast(self, texts, **more):
+            self.texts += len(texts)
+            return self.inner.encode_batch_fast(texts, **more)
+
+    coder = Encoder(default_tokenizer())
+    coder.tokenizer = counting = Counting(coder.tokenizer)
+    texts = [" ".join(f"{'xyz'[i % 3]}ord{i * 7919 % 5003}q{'.' * (i % 5 == 0)}" for i in range(k, k + 1000)) for k in range(0, 5000, 1000)]
+    texts += ["", ". . .", "a.b c.d 1.2, x.", "é a\u0301 e. É", "don't . (x) 7"]
+    for part in (texts[:3], texts[2:]):
+        ids, count = coder.encode(Words(pa.array(part)))
+        assert ids.tolist() == [i for t in part for i in encode(t)] and count.sum() == len(ids)
+    assert counting.texts < 200
