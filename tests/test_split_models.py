@@ -144,6 +144,21 @@ def test_fits_side_by_side_inherit_the_job_group(spark):
     assert found["a"].coefficients == found["b"].coefficients
 
 
+def test_leaves_are_worked_out_once_a_pattern(monkeypatch):
+    x = np.asfortranarray(np.random.default_rng(5).uniform(size=(1000, 4)))
+    leaf = (1.7, np.array([2, 0, 3]), np.array([0.2, -math.inf, 0.4]), np.array([math.inf, 0.7, 0.9]), np.array([0.8, 0.6, 0.45]))
+    inside = ((x[:, leaf[1]] > leaf[2]) & (x[:, leaf[1]] <= leaf[3])).astype(float)
+    want = np.zeros((1000, 4))
+    want[:, leaf[1]] = attribution._leaf_shares(inside, leaf[4]) * leaf[0]
+    sizes, plain = [], attribution._leaf_shares
+    monkeypatch.setattr(attribution, "_leaf_shares", lambda inside, share: sizes.append(len(inside)) or plain(inside, share))
+    for rows_ in (1000, 5):
+        got = np.zeros((rows_, 4))
+        attribution._add_leaf(got, x[:rows_], *leaf)
+        assert_close(got, want[:rows_])
+    assert sizes == [8, 5]
+
+
 def test_leaf_shares_equal_the_definition():
     """Shapley values of one leaf by enumerating all coalitions."""
     rng = np.random.default_rng(2)
