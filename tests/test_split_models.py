@@ -331,3 +331,11 @@ def test_lifecycle(spark, folder):
     after = store.retrain(decide(True), df, ["lag_1"], cfg, families=families).first()
     assert (after.version, after.retrained) == (2, True)
     assert sorted(r.stage for r in store.versions().collect()) == ["Archived", "Production"] and store.runs().count() == 4
+
+
+def test_forest_keeps_the_nodes_of_rows_and_grows_the_same_trees(spark):
+    forest = models.factories(trees=3)["random_forest"]("y")
+    assert forest.getCacheNodeIds()
+    raw = spark.range(400).select((F.col("id") % 17).cast("double").alias("a"), (F.col("id") % 7).cast("double").alias("b"))
+    x = models.assemble(raw.withColumn("y", F.col("a") * F.col("b")), ["a", "b"])
+    assert forest.fit(x).toDebugString.split("\n")[1:] == forest.copy().setCacheNodeIds(False).fit(x).toDebugString.split("\n")[1:]
