@@ -118,3 +118,27 @@ def test_empty_slots_are_made_by_many_tasks(spark):
     aligned = grid.align_to_grid(ends.withColumn("seq", F.lit(1)), cfg)
     held = aligned.agg(F.count("consumption_kwh"), F.count("*"), F.min("timestamp").cast("string"), F.max("timestamp").cast("string")).first()
     assert tuple(held) == (80, sum(made), "2024-01-01 00:00:00", "2024-02-01 00:00:00")
+
+
+def test_sorts_of_features_are_not_merged_into_a_task(spark):
+    # Merged by their few bytes, the rows of a grid would be sorted in a single task here.
+    used = lambda df: df.select(F.spark_partition_id().alias("p")).distinct().count()
+    readings, _ = panel(spark)
+    cfg = SeriesConfig()
+    for made in (features.add_lag_features, features.add_rolling_features, features.history_features):
+        assert used(made(readings, cfg)) > 1
+    weather = fx.weather(spark, SF)
+    whole = fx.features(spark, SF)
+    assert used(whole) > 1
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+    try:
+        shuffled = features.features_from_readings(fx.readings(spark, SF), weather, fx.calendar(spark, SF), fx.GRID)
+        assert used(shuffled) > 1
+        # Written weather is small, whatever the events are that it was made from.
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(64 << 10))
+        assert "_salt" not in plan(fx.features(spark, SF))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    a, b = (rows(x, "household_id", "timestamp").drop(columns=["household_id", "timestamp"]) for x in (shuffled, whole))
+    assert_close(a, b[a.columns])
