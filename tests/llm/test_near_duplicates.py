@@ -197,3 +197,31 @@ def test_short_lines_and_lines_without_blanks_go(spark):
     got = {r.doc_id: r for r in L.line_dedup(frame(spark, rows)).collect()}
     assert [got[i].n_removed for i in range(4)] == [0, 6, 6, 6]
     assert got[3].kept_text == "\nline of document d uuuuuuuuu"
+
+
+def plain_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(new[-1] + 1, row[j] + 1, row[j - 1] + (x != y)))
+        row = new
+    return row[-1]
+
+
+def test_bounded_edit_distance_stops_early_and_loses_nothing(monkeypatch):
+    monkeypatch.setattr(L, "LOOK", 2)
+    rng, early = np.random.default_rng(3), 0
+    for _ in range(300):
+        a, b = ("".join(rng.choice(list("abcé 早"), rng.integers(0, 70))) for _ in range(2))
+        if rng.random() < 0.5:
+            b = a[: len(a) // 2] + b[: rng.integers(0, 9)] + a[len(a) // 2 + rng.integers(0, 9):]
+        true = plain_distance(a, b)
+        assert L.edit_distance(a, b) == true
+        for most in (0, 3, max(true - 1, 0), true, true + 5):
+            found = L.edit_distance(a, b, most)
+            assert found == true if true <= most else found > most
+            early += found != true
+        longest = max(len(a), len(b))
+        assert L.similar(a, b, 0.8) == (longest - true >= 0.8 * longest - 1e-9)
+    assert early > 100
