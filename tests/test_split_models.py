@@ -1,6 +1,6 @@
 import itertools
 import math
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 import numpy as np
 import pandas as pd
@@ -339,3 +339,27 @@ def test_forest_keeps_the_nodes_of_rows_and_grows_the_same_trees(spark):
     raw = spark.range(400).select((F.col("id") % 17).cast("double").alias("a"), (F.col("id") % 7).cast("double").alias("b"))
     x = models.assemble(raw.withColumn("y", F.col("a") * F.col("b")), ["a", "b"])
     assert forest.fit(x).toDebugString.split("\n")[1:] == forest.copy().setCacheNodeIds(False).fit(x).toDebugString.split("\n")[1:]
+
+
+def test_prepared_rows_are_split_once(spark):
+    """Medians and result read the written split; neither plans its windows again."""
+    start = datetime(2024, 1, 1)
+    data = [("a" if i % 2 else "b", start + timedelta(hours=i), float(i % 7), None if i % 3 else float(i)) for i in range(200)]
+    df = spark.createDataFrame(data, "household_id string, timestamp timestamp_ntz, consumption_kwh double, lag_1 double")
+    cfg = SeriesConfig(freq_minutes=60, lag_steps=(1, 2), rolling_windows=(4,))
+    out = models.prepare(df, ["lag_1"], cfg)
+    assert "row_number" not in out._jdf.queryExecution().executedPlan().toString()
+    known = split.chronological_split(df, cfg)
+    assert out.count() == known.count() > 0
+    median = known.filter("split = 'train'").agg(F.median("lag_1")).first()[0]
+    assert {r.lag_1 for r in out.collect()} == {r.lag_1 if r.lag_1 is not None else median for r in known.collect()}
+
+
+def test_retraining_reads_the_stored_features_once(spark, monkeypatch):
+    from slotwise.plans import queries as Q
+
+    made, real = [], Q.fx.stored_features
+    monkeypatch.setattr(Q.fx, "stored_features", lambda *a: made.append(1) or real(*a))
+    monkeypatch.setattr(Q, "_families", lambda: {k: v for k, v in models.factories().items() if k == "linear_regression"})
+    out = Q.QUERIES["retrain_job"](spark, "/root/testdata/sf0.001").first()
+    assert len(made) == 1 and out.version == (2 if out.retrained else 1)
