@@ -225,3 +225,35 @@ def test_bounded_edit_distance_stops_early_and_loses_nothing(monkeypatch):
         longest = max(len(a), len(b))
         assert L.similar(a, b, 0.8) == (longest - true >= 0.8 * longest - 1e-9)
     assert early > 100
+
+
+def test_pairs_compared_at_once_equal_pairs_compared_singly(monkeypatch):
+    """Batches of many word counts, with small tables and early looks too, and a spanning forest that joins what all similar pairs join."""
+    rng, tried, alike = np.random.default_rng(4), 0, 0
+    one_by_one = L.similar
+    for length, letters, look in ((70, "abcdefgh ", 96), (300, "abcé 早", 4), (2200, "abcdefghijkl ", 8)):
+        texts = []
+        for _ in range(14):
+            base = list(rng.choice(list(letters), rng.integers(1, length)))
+            for share in (0, 0.1, 0.2, 0.3):
+                new = list(base)
+                for at in rng.integers(0, len(base), int(share * len(base))).tolist():
+                    new[at] = ("", "z", new[at] + "y")[at % 3]
+                texts.append("".join(new) or "a")
+        a, b = np.triu_indices(len(texts), 1)
+        want = np.array([one_by_one(texts[i], texts[j], 0.8) for i, j in zip(a.tolist(), b.tolist(), strict=True)])
+        monkeypatch.setattr(L, "LOOK", look)
+        monkeypatch.setattr(L, "FEW_PAIRS", 1)
+        for places in (1 << 20, 2000):
+            monkeypatch.setattr(L, "PLACES", places)
+            calls = []
+            monkeypatch.setattr(L, "similar", lambda *x, calls=calls: calls.append(x) or one_by_one(*x))
+            assert np.array_equal(L.Spelled(texts).similar(a, b, 0.8), want)
+            assert len(calls) < len(a) / 4
+            monkeypatch.setattr(L, "similar", one_by_one)
+            x, y = L._spanning(texts, a, b, 0.8)
+            top = groups(range(len(texts)), list(zip(a[want].tolist(), b[want].tolist(), strict=True)))
+            got = groups(range(len(texts)), list(zip(x.tolist(), y.tolist(), strict=True)))
+            assert len(set(top.values())) == len(set(got.values())) == len(set((top[i], got[i]) for i in top)) == len(texts) - len(x)
+        tried, alike = tried + len(a), alike + int(want.sum())
+    assert alike > 60 and tried > 4000
