@@ -191,3 +191,12 @@ def test_status(spark):
     out = adwin.drift_status(events, spark.range(77).agg(F.count(F.lit(1)))).first()
     assert (out.n_updates, out.n_drift_events_total, out.features_with_drift_ever) == (77, 13, ["x", "y"])
     assert len(out.recent_events) == 10 and out.recent_events[-1].feature == "x"
+
+
+def test_newest_versions_are_dealt_before_they_are_aggregated(spark):
+    """A batch holds a key once: aggregating where files are read would hold all their rows in a few tasks."""
+    rows = [(f"HH{i:04d}", i % 3, float(i * b), b) for i in range(20) for b in range(1 + i % 2)]
+    out = live.newest_per_key(spark.createDataFrame(rows, "household_id string, timestamp int, v double, batch_id int"), ["household_id", "timestamp"])
+    assert {r.household_id: r.v for r in out.collect()} == {f"HH{i:04d}": float(i * (i % 2)) for i in range(20)}
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and "partial_max_by" not in plan.split("REPARTITION_BY_NUM")[1]
