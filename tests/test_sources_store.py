@@ -1,3 +1,4 @@
+import hashlib
 import os
 import zipfile
 
@@ -130,6 +131,34 @@ def test_file_manifest(spark, folder):
     assert os.path.exists(f"{folder}/a.txt")
 
 
+def test_files_of_2_gb_are_hashed(spark, folder):
+    with open(f"{folder}/long one.bin", "wb") as f:
+        f.write(b"begin")
+        f.truncate(1 << 31)
+    with open(f"{folder}/short.bin", "wb") as f:
+        f.write(b"short")
+    found = {r.path.rsplit("/", 1)[-1]: r for r in store.file_manifest(spark, [folder]).collect()}
+    want = hashlib.sha256(b"begin")
+    for at in range(5, 1 << 31, 1 << 20):
+        want.update(bytes(min(1 << 20, (1 << 31) - at)))
+    assert found["long one.bin"].sha256 == want.hexdigest() and found["long one.bin"].size_bytes == 1 << 31
+    assert found["short.bin"].sha256 == hashlib.sha256(b"short").hexdigest() and len(found) == 2
+
+
+@pytest.mark.parametrize("mounted", [True, False])
+def test_long_files_have_the_hash_of_whole_ones(spark, folder, monkeypatch, mounted):
+    os.mkdir(f"{folder}/in")
+    for i, size in enumerate((1, 98, 99, 100, 5000)):
+        with open(f"{folder}/in/{i} ü%20.bin", "wb") as f:
+            f.write(os.urandom(size))
+    whole = sorted(store.file_manifest(spark, [folder]).collect())
+    monkeypatch.setattr(store, "WHOLE_BYTES", 99)
+    monkeypatch.setattr(store, "STEP_BYTES", 64)
+    if not mounted:
+        monkeypatch.setattr(store, "_sha256_of_mounted", lambda file: None)
+    assert len(whole) == 5 and sorted(store.file_manifest(spark, [folder]).collect()) == whole
+
+
 def test_naive_and_instant_convert_both_ways(spark):
     df = spark.createDataFrame([(at("2024-03-31 01:30"),)], "t timestamp_ntz")
     zone = spark.conf.get("spark.sql.session.timeZone")
