@@ -142,3 +142,38 @@ def test_sorts_of_features_are_not_merged_into_a_task(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
     a, b = (rows(x, "household_id", "timestamp").drop(columns=["household_id", "timestamp"]) for x in (shuffled, whole))
     assert_close(a, b[a.columns])
+
+
+def test_the_pipeline_never_shuffles_the_dense_grid(spark):
+    text = plan(fx.pipeline_features(spark, SF))
+    made = re.search(r"Generate explode\(CASE WHEN isnull\(_slot", text)
+    assert made and not re.search(r"Exchange hashpartitioning\(household_id", text[: made.start()])
+
+
+@pytest.mark.parametrize("block", [50, 4096])
+def test_open_blocks_hold_the_aligned_rows_and_those_before(spark, block):
+    df, _ = panel(spark, n=200, holes=0.5, start="2024-01-01 00:07:00")
+    df = df.filter("seq % 7 <> 0").unionByName(df.withColumns({"seq": F.col("seq") + 1000, "consumption_kwh": F.lit(99.0)}))
+    df = df.unionByName(df.filter("seq = 3").withColumns({"household_id": F.lit("only off"), "timestamp": F.expr("timestamp + interval 3 minutes")}))
+    cfg = SeriesConfig(block_slots=block)
+    key = ["household_id", "timestamp"]
+    want = rows(grid.align_to_grid(df, cfg), *key)
+    out = grid.align_in_blocks(df, cfg, look_back=70)
+    own = rows(out.filter("_own").drop("_block", "_own"), *key)
+    assert len(want) == 4 * 200 and own[key].equals(want[key])
+    assert_close(own.consumption_kwh, want.consumption_kwh)
+    opened = features._in_blocks(grid.align_to_grid(df, cfg), cfg, 70)
+    last = opened.filter("_own").agg(F.max("_block")).scalar()
+    expected = opened.filter(F.col("_block") <= last).select(out.columns)
+    assert out.exceptAll(expected).count() == 0 and expected.exceptAll(out).count() == 0
+
+
+def test_features_in_open_blocks_equal_those_dealt_anew(spark):
+    df, _ = panel(spark, n=300, holes=0.4)
+    cfg = SeriesConfig(lag_steps=(1, 48), rolling_windows=(4, 48), block_slots=100)
+    df = df.withColumn("is_real_data", F.when(F.col("seq") % 5 == 0, F.col("seq") % 2 == 0))
+    key = ["household_id", "timestamp"]
+    want = rows(features.build_feature_table(cleaning.clean_meter(df, cfg), cfg, on_grid=True), *key)
+    for dealt in (True, False):
+        got = rows(features.build_feature_table(cleaning.clean_meter(df, cfg, open_for=cfg.look_back + 1), cfg, on_grid=True, dealt=dealt), *key)
+        assert got.equals(want)
