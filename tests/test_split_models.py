@@ -1,5 +1,6 @@
 import itertools
 import math
+import re
 from datetime import datetime, timedelta
 
 import numpy as np
@@ -159,6 +160,56 @@ def test_leaves_are_worked_out_once_a_pattern(monkeypatch):
     assert sizes == [8, 5]
 
 
+def nested_leaves(rng, depth, features, low=(), high=()):
+    """Leaves of a random tree in order, as (value, feature, low, high, share)."""
+    low, high = dict(low), dict(high)
+    if not depth:
+        names = sorted({*low, *high})
+        ends = ([d.get(j, e) for j in names] for d, e in ((low, -math.inf), (high, math.inf)))
+        return [(rng.normal(), np.array(names, int), *map(np.array, ends), rng.uniform(0.1, 0.9, len(names)))]
+    j, cut = int(rng.integers(features)), float(rng.uniform(0.2, 0.8))
+    left = nested_leaves(rng, depth - 1, features, low, high | {j: min(cut, high.get(j, cut))})
+    return left + nested_leaves(rng, depth - 1, features, low | {j: max(cut, low.get(j, cut))}, high)
+
+
+@pytest.mark.parametrize("n", [2000, 40])
+def test_leaves_next_to_each_other_are_looked_up_together(monkeypatch, n):
+    rng = np.random.default_rng(3)
+    leaves = nested_leaves(rng, 5, 4)
+    x = np.asfortranarray(rng.uniform(size=(n, 4)).round(2))
+    x[::9, 2] = np.nan
+    want, got = np.zeros(x.shape), np.zeros(x.shape, order="F")
+    for leaf in leaves:
+        attribution._add_leaf(want, x, *leaf)
+    one_by_one, plain = [], attribution._add_leaf
+    monkeypatch.setattr(attribution, "_add_leaf", lambda *a: one_by_one.append(1) or plain(*a))
+    monkeypatch.setattr(attribution, "STEP_ROWS", 512)
+    rows_ = attribution.Coded(x, leaves)
+    for at in range(0, len(leaves), attribution.MERGED):
+        attribution._add_leaves(got, rows_, leaves[at: at + attribution.MERGED])
+    assert np.abs(got - want).max() < 1e-12 and not one_by_one
+    few = np.zeros((3, 4), order="F")
+    attribution._add_leaves(few, attribution.Coded(x[:3], leaves[:2]), leaves[:2])
+    direct = np.zeros((3, 4))
+    for leaf in leaves[:2]:
+        plain(direct, x[:3], *leaf)
+    assert np.abs(few - direct).max() < 1e-12 and one_by_one
+
+
+def test_many_parts_of_the_rows_need_few_groups_of_trees(spark, monkeypatch):
+    df = models.assemble(linear_frame(spark), ["x1", "x2", "x3"])
+    model = models.factories(trees=6)["random_forest"]("y").fit(df)
+    explained = {}
+    for units in (128, 8):
+        monkeypatch.setattr(attribution, "PART_ROWS", 50)
+        monkeypatch.setattr(attribution, "UNITS", units)
+        out = attribution.tree_attributions(df, model, ["x1", "x2", "x3"], ["id"])
+        copies = re.findall(r"sequence\(0, (\d+)", out._jdf.queryExecution().logical().toString())
+        explained[units] = copies, rows(out, "id")
+    assert explained[128][0] != explained[8][0] and "1" in explained[8][0]
+    assert_close(explained[128][1].drop(columns="id"), explained[8][1].drop(columns="id"))
+
+
 def test_leaf_shares_equal_the_definition():
     """Shapley values of one leaf by enumerating all coalitions."""
     rng = np.random.default_rng(2)
