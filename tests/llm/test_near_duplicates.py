@@ -257,3 +257,29 @@ def test_pairs_compared_at_once_equal_pairs_compared_singly(monkeypatch):
             assert len(set(top.values())) == len(set(got.values())) == len(set((top[i], got[i]) for i in top)) == len(texts) - len(x)
         tried, alike = tried + len(a), alike + int(want.sum())
     assert alike > 60 and tried > 4000
+
+
+def test_lines_that_no_other_can_be_similar_to_get_no_rows(spark):
+    rng = np.random.default_rng(4)
+    chars = rng.integers(40, 2000, 300).tolist()
+    own = rng.integers(0, 6, (300, L.MINIMA // 2)).astype(np.uint32)
+    own[::4] = rng.integers(0, 1 << 32, own[::4].shape)
+    data = [(i, n, bytearray(x.tobytes()), None) for i, (n, x) in enumerate(zip(chars, own, strict=True))]
+    distinct = spark.createDataFrame(data, "rid long, chars int, long binary, short binary").repartition(3)
+    rows = L._shared_keys(distinct, 0.8).collect()
+    found = {(r.key, r.rid) for r in rows}
+    groups = {}
+    for i, x in enumerate(own.tolist()):
+        for k, v in enumerate(x):
+            groups.setdefault(v | k << 33, []).append(i)
+    alike = lambda a, b: min(chars[a], chars[b]) >= 0.8 * max(chars[a], chars[b])
+    needed = {(k, i) for k, g in groups.items() for i in g if any(i != j and alike(i, j) for j in g)}
+    shared = {(k, i) for k, g in groups.items() for i in g if len(g) > 1}
+    assert needed <= found < shared and len(rows) == len(found)
+    sizes = {}
+    for r in rows:
+        sizes.setdefault(r.key, []).append(r.size)
+    assert all(set(s) == {len(s)} for s in sizes.values())
+    # Lengths of which none is within a quarter of another leave nothing.
+    apart = [(i, 40 * 2**i, bytearray(own[1].tobytes()), None) for i in range(5)]
+    assert L._shared_keys(spark.createDataFrame(apart, distinct.schema), 0.8).count() == 0
