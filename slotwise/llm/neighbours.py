@@ -115,6 +115,10 @@ class Hashes:
                 bucket = (bucket[:, :, None] * (2 * axes) + own[:, None, :]).reshape(len(v), -1)
             if total.shape[1] > count:
                 near = np.argpartition(total, count - 1, axis=1)[:, :count]
+                # Of equally good buckets at the rim the smaller ones are taken, whatever the partition takes.
+                rim = np.take_along_axis(total, near, 1).max(axis=1, keepdims=True)
+                tied = np.flatnonzero((total <= rim).sum(axis=1) > count)
+                near[tied] = np.lexsort((bucket[tied], total[tied]), axis=1)[:, :count]
                 total, bucket = np.take_along_axis(total, near, 1), np.take_along_axis(bucket, near, 1)
         order = np.lexsort((bucket, total), axis=1)
         return np.take_along_axis(bucket, order, 1)
